@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import mix, pack, quality, shard
+from litloom.llm import mix, pack, quality, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,12 +12,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": lambda spark, sf_dir: substring.substring_digest(_table(spark, sf_dir, "documents")),
     "op2_quality_rules": lambda spark, sf_dir: quality.quality_digest(_table(spark, sf_dir, "documents")),
     "op3_pack": lambda spark, sf_dir: pack.pack_digest(_table(spark, sf_dir, "documents")),
     "op4_shard": lambda spark, sf_dir: shard.shard_digest(_table(spark, sf_dir, "documents")),
+    "op8_suffix_dedup": lambda spark, sf_dir: suffix.suffix_digest(_table(spark, sf_dir, "documents")),
     "op10_mix": lambda spark, sf_dir: mix.mix_digest(_table(spark, sf_dir, "documents")),
 }
 
 ORACLE_SQL = {
-    "op4_shard": shard.ORACLE_SQL,
+    "op1_substring_dedup": substring.ORACLE_SQL,
 }

@@ -67,15 +67,3 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 24) -> DataFrame:
 def shard_digest(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     """The assignment under the law `bytes`; grown_shard is null, as that law does not use it."""
     return assign_shards(docs, n_shards).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
-
-
-ORACLE_SQL = """
-SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
-FROM (
-  SELECT doc_id, size, text_crc32, CAST(least((upto - size) * 24 // total, 23) AS INTEGER) AS shard
-  FROM (
-    SELECT doc_id, size, text_crc32, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total
-    FROM (SELECT doc_id, CAST(coalesce(strlen(text), 0) + 8 AS BIGINT) AS size, coalesce(crc32(text), 0) AS text_crc32 FROM documents)
-  )
-)
-"""
