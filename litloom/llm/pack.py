@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from litloom.llm.runtime import ship
 
 MAX_TOKENS = 1024
-#: Words whose ids a worker remembers; it forgets all when there are more.
-REMEMBERED = 400_000
+#: Texts longer than this are encoded in parts of about this many characters.
+PART = 100_000
 #: A space between two characters that aren't white space. The tokenizer's pattern always starts a new piece
 #: there, so what lies between such spaces can be encoded by itself.
 CUT = re.compile(r"(?<=[!-~À-ɏ])(?= [!-~À-ɏ])")
+#: Fixed value: the pattern by which byte-level tokenizers of this kind cut a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_encoders: dict[str, Callable[[list[str]], list[bytes]]] = {}
+_encoders: dict[str, Callable[[str], bytes]] = {}
 
 
 def default_tokenizer() -> str:
@@ -28,30 +30,53 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Texts to their ids as little-endian unsigned 32-bit integers. One for each worker and file.
+def _byte_of() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones for themselves, the
+    others, in order, for the letters from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
-    Each distinct word is encoded once while it is remembered; a text's ids are its words' ids in order.
+
+def encoder(path: str) -> Callable[[str], bytes]:
+    """A text to its ids as little-endian unsigned 32-bit integers, by the tokenizer file at path.
+
+    A byte-level BPE file whose ids are in the order of its merges is read as ranks, which a faster library
+    merges by and gives the same ids; any other file is left to its own library. One for each worker and file.
     """
     if path in _encoders:
         return _encoders[path]
+    import json
+
     import numpy as np
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    known: dict[str, bytes] = {}
-
-    def encode(texts: list[str]) -> list[bytes]:
-        parts = [CUT.split(t) if t else [] for t in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(dict.fromkeys(w for p in parts for w in p if w not in known))
-        for i in range(0, len(new), 10_000):
-            chunk = new[i : i + 10_000]
-            for w, e in zip(chunk, tokenizer.encode_batch_fast(chunk, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    before = spec.get("pre_tokenizer") or {}
+    if spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not spec.get("normalizer"):
+        import tiktoken
+
+        byte_of = _byte_of()
+        special = {t["content"] for t in spec.get("added_tokens", ())}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        whole = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    else:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode(text: str) -> bytes:
+        if len(text) <= PART:
+            return np.array(whole(text), "<u4").tobytes()
+        out, at = [], 0
+        while at < len(text):
+            found = CUT.search(text, at + PART)
+            upto = found.start() if found else len(text)
+            out.append(np.array(whole(text[at:upto]), "<u4").tobytes())
+            at = upto
+        return b"".join(out)
 
     return _encoders.setdefault(path, encode)
 
@@ -81,7 +106,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str | None = None, most: int = MAX
                 out: tuple[list, ...] = ([], [], [], [], [])
                 held = 0
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = encode([text or ""])[0] + b"\0\0\0\0"
+                    ids = encode(text or "") + b"\0\0\0\0"
                     start, total = 0, len(ids) // 4
                     held += len(ids)
                     for n in lengths(total, most):
