@@ -35,8 +35,8 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and `rid`, `did`, which together name a row even where doc_id is null or repeated.
+def with_row_key(docs: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
+    """The named columns and `rid`, `did`, which together name a row even where doc_id (key) is null or repeated.
 
     rid hashes the file and the row's index in it, which do not depend on how a scan is split, so every
     scan of the table finds the same keys; did is doc_id, 0 for null. What isn't a plain scan is staged first.
@@ -45,7 +45,7 @@ def with_row_key(docs: DataFrame, *columns: str) -> DataFrame:
         return df.select(
             *columns,
             F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("rid"),
-            F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("did"),
+            F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("did"),
         )
 
     try:
