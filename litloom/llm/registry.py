@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import hnsw, jaccard, mix, pack, quality, shard, substring, suffix
+from litloom.llm import hnsw, jaccard, mix, pack, quality, resample, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,7 @@ QUERIES = {
     "op2_quality_rules": lambda spark, sf_dir: quality.quality_digest(_table(spark, sf_dir, "documents")),
     "op3_pack": lambda spark, sf_dir: pack.pack_digest(_table(spark, sf_dir, "documents")),
     "op4_shard": lambda spark, sf_dir: shard.shard_digest(_table(spark, sf_dir, "documents")),
+    "op5_resample": lambda spark, sf_dir: resample.resample_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")),
     "op6_jaccard_join": lambda spark, sf_dir: jaccard.jaccard_digest(_table(spark, sf_dir, "documents")),
     "op7_embedding_dedup": lambda spark, sf_dir: hnsw.near_vectors(_table(spark, sf_dir, "embeddings")),
     "op8_suffix_dedup": lambda spark, sf_dir: suffix.suffix_digest(_table(spark, sf_dir, "documents")),
