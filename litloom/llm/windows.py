@@ -301,7 +301,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, verdict, spare_first: bool, hot:
     shared = classes.groupBy("gram").agg(F.count("*").alias("classes")).filter("classes > 1")
     asked = classes.join(shared, "gram").select("gram", "content", "n", "windows", "classes", "first.*")
     cuts = asked.groupBy("rid", "did").agg(F.collect_list(F.struct("gram", "content", "n", "start", "windows")).alias("cuts"))
-    packed = rows.join(cuts, ["rid", "did"]).select("rid", "did", "text", "cuts").mapInArrow(_cut_segments(kind), "gram long, content long, n long, did long, rid long, start int, windows int, packed binary")
+    # The same columns as the last join takes, so that texts are dealt out once for both.
+    packed = rows.join(cuts, ["rid", "did"]).select("rid", "did", "doc_id", "text", "void", "cuts").mapInArrow(_cut_segments(kind), "gram long, content long, n long, did long, rid long, start int, windows int, packed binary")
     # A crowded gram's classes would meet in one task; their windows are dealt out by themselves instead.
     crowded = shared.filter(F.col("classes") > hot).select("gram")
     if crowded.isEmpty():
