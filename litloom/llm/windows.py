@@ -295,6 +295,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, verdict, spare_first: bool, hot:
     rows = with_row_key(docs, "doc_id", "text").select("rid", "did", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("void"))
     plain = rows.select("did", "rid", "text")
     grams = plain.select("text").mapInArrow(_count_grams(kind), "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
+    # Staged, so that the join has plain exchanges on both sides, whose large partitions Spark can split.
+    grams = staged(grams, "grams")
     found = plain.mapInArrow(_find_segments(kind), "gram long, content long, did long, rid long, start int, windows int")
     members = staged(found.join(grams, "gram", "left_semi"), "segments")
     classes = staged(members.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(F.struct("did", "rid", "start")).alias("first"), F.max("windows").alias("windows")), "classes")
