@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import hnsw, jaccard, mix, pack, quality, resample, shard, substring, suffix
+from litloom.llm import hnsw, jaccard, lm, mix, pack, quality, resample, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,7 @@ QUERIES = {
     "op6_jaccard_join": lambda spark, sf_dir: jaccard.jaccard_digest(_table(spark, sf_dir, "documents")),
     "op7_embedding_dedup": lambda spark, sf_dir: hnsw.near_vectors(_table(spark, sf_dir, "embeddings")),
     "op8_suffix_dedup": lambda spark, sf_dir: suffix.suffix_digest(_table(spark, sf_dir, "documents")),
+    "op9_lm_score": lambda spark, sf_dir: lm.score_documents(_table(spark, sf_dir, "documents")),
     "op10_mix": lambda spark, sf_dir: mix.mix_digest(_table(spark, sf_dir, "documents")),
 }
 
