@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from litloom.llm import hnsw, jaccard, lm, mix, pack, quality, resample, shard, substring, suffix
 
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_suffix_dedup": lambda spark, sf_dir: suffix.suffix_digest(_table(spark, sf_dir, "documents")),
     "op9_lm_score": lambda spark, sf_dir: lm.score_documents(_table(spark, sf_dir, "documents")),
     "op10_mix": lambda spark, sf_dir: mix.mix_digest(_table(spark, sf_dir, "documents")),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
