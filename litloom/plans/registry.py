@@ -1,10 +1,409 @@
-"""Named queries of the literature operators, each with its DuckDB counterpart."""
+"""Named queries of the literature operators, each with its DuckDB counterpart.
+
+Doubles are rounded to 9 places in both engines, and counts are bigint.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from litloom.functions import scoring, text
+from litloom.operators import embedding, evidence, grounding, index, publications, terms
+from litloom.plans.views import view, with_views
+from litloom.sources import tables
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def _r(c: Column | str, name: str) -> Column:
+    return F.round(c, 9).alias(name)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- publications ---
+
+_LUT = "lut AS (SELECT DISTINCT PMID AS pmid_lut, PMCID AS pmcid_lut FROM v_epmcids WHERE PMID IS NOT NULL AND starts_with(PMCID, 'PMC'))"
+_IDS = f"""{with_views("v_pubs", "v_epmcids")}, {_LUT},
+p AS (SELECT CASE WHEN pmid NOT IN ('', '0') THEN pmid END AS pmid, CASE WHEN pmcid NOT IN ('', '0') THEN pmcid END AS pmcid, pubDate, section, text FROM v_pubs),
+f AS (SELECT *, pmid IS NULL AS failed_pmid, pmcid IS NULL AS failed_pmcid, pmid IS NULL AND pmcid IS NULL AS failed_pmcid_and_pmid FROM p
+      WHERE NOT EXISTS (SELECT 1 FROM lut WHERE pmid_lut = p.pmid AND p.pmcid IS NULL)),
+j AS (SELECT f.* EXCLUDE (pmid), coalesce(pmid, pmid_lut) AS pmid, pmid IS NULL AND pmcid IS NOT NULL AS failed_pmid_not_pmcid,
+             pmid IS NULL AND pmcid IS NOT NULL AND pmid_lut IS NOT NULL AS failed_recover_pmid_not_pmcid FROM f LEFT JOIN lut ON pmcid = pmcid_lut)"""
+_SENTENCES = f"""{_IDS}, s AS (SELECT * EXCLUDE (text, section), lower(section) AS section, unnest(string_split(text, chr(10))) AS text FROM j)"""
+
+
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publications.id_lookup(view(spark, sf_dir, "v_epmcids"))
+
+
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.transform(F.split("text", "\n"), lambda t: F.struct(F.col("section").alias("section"), t.alias("text")))
+    pubs = view(spark, sf_dir, "v_pubs").withColumn("sentences", lines).drop("section", "text")
+    return publications.load_publications(pubs, _lookup(spark, sf_dir))
+
+
+@_query("id_lut", f"{with_views('v_epmcids')}, {_LUT} SELECT * FROM lut")
+def id_lut(spark, sf_dir):
+    return _lookup(spark, sf_dir)
+
+
+@_query("publication_ids", f"{_IDS} SELECT pmid, pmcid, section, failed_pmid, failed_pmcid, failed_pmcid_and_pmid, failed_pmid_not_pmcid, failed_recover_pmid_not_pmcid FROM j")
+def publication_ids(spark, sf_dir):
+    return publications.with_ids(view(spark, sf_dir, "v_pubs"), _lookup(spark, sf_dir)).drop("pubDate", "text")
+
+
+@_query(
+    "publication_dates",
+    f"""{with_views("v_pubs")}, d AS (SELECT pubDate, TRY_CAST(nullif(pubDate, '') AS DATE) AS date FROM v_pubs)
+SELECT pubDate, date, date IS NULL AS failed_date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day FROM d""",
+)
+def publication_dates(spark, sf_dir):
+    return publications.with_dates(view(spark, sf_dir, "v_pubs")).select("pubDate", "date", "failed_date", "year", "month", "day")
+
+
+_FLAGS = ("failed_pmid", "failed_pmcid", "failed_pmcid_and_pmid", "failed_pmid_not_pmcid", "failed_recover_pmid_not_pmcid", "failed_date", "failed_section", "failed_sentence")
+
+
+@_query(
+    "quality_report",
+    f"{_SENTENCES}, q AS (SELECT *, TRY_CAST(nullif(pubDate, '') AS DATE) IS NULL AS failed_date, section IS NULL AS failed_section, regexp_matches(text, '[^\\x20-\\x7e]') AS failed_sentence FROM s)\n"
+    + "\nUNION ALL ".join(f"SELECT '{flag}' AS flag, count(*) AS rows, count(*) FILTER (WHERE {flag}) AS failed FROM q" for flag in _FLAGS),
+)
+def quality_report(spark, sf_dir):
+    return publications.quality_report(_sentences(spark, sf_dir))
+
+
+@_query("sentence_filter", f"{_SENTENCES} SELECT pmid, pmcid, section, text FROM s WHERE pmid IS NOT NULL AND section IS NOT NULL")
+def sentence_filter(spark, sf_dir):
+    return publications.usable(_sentences(spark, sf_dir)).select("pmid", "pmcid", "section", "text")
+
+
+@_query("nonascii_sentences", r"SELECT doc_id, regexp_matches(text, '[^\x20-\x7e]') AS failed_sentence FROM documents")
+def nonascii_sentences(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", publications.non_ascii(F.col("text")).alias("failed_sentence"))
+
+
+# --- text ---
+
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in text.STOPPED)
+
+
+def _clean_sql(tokens: str) -> str:
+    return f"list_filter(list_transform({tokens}, lambda t: lower(regexp_replace(t, '[^a-zA-Z0-9_\\s]', '', 'g'))), lambda t: t <> '')"
+
+
+def _tt_sql(c: str) -> str:
+    return _clean_sql(f"regexp_split_to_array({c}, '[\\s:,;]+')")
+
+
+def _lt_sql(c: str) -> str:
+    return _clean_sql(f"list_filter(regexp_split_to_array({c}, '[\\s\\-/:,;]+'), lambda t: t NOT IN ({_STOP}))")
+
+
+def _lt_key_sql(c: str) -> str:
+    return f"array_to_string(list_sort(list_distinct({_lt_sql(c)})), '')"
+
+
+def _tt_key_sql(c: str) -> str:
+    return f"array_to_string({_tt_sql(c)}, '')"
+
+
+@_query("tokens_tt", f"SELECT doc_id, array_to_string({_tt_sql('text')}, ' ') AS tokens FROM documents")
+def tokens_tt(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.symbol_tokens(F.col("text")), " ").alias("tokens"))
+
+
+@_query("tokens_clean", f"SELECT doc_id, array_to_string({_lt_sql('text')}, ' ') AS tokens FROM documents")
+def tokens_clean(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.word_tokens(F.col("text")), " ").alias("tokens"))
+
+
+@_query("stem_tokens")
+def stem_tokens(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.stemmed(text.word_tokens(F.col("text"))), " ").alias("stems"))
+
+
+@_query("keys_tt", f"{with_views('v_terms')}, k AS (SELECT keywordId, type, text, {_tt_key_sql('text')} AS labelN FROM v_terms WHERE keyType = 'TT') SELECT * FROM k WHERE labelN <> ''")
+def keys_tt(spark, sf_dir):
+    return terms.with_key(view(spark, sf_dir, "v_terms").filter("keyType = 'TT'"), "text", stem=False).select("keywordId", "type", "text", "labelN")
+
+
+@_query("keys_lt", f"{with_views('v_terms')}, k AS (SELECT keywordId, type, text, {_lt_key_sql('text')} AS labelN FROM v_terms WHERE keyType = 'LT') SELECT * FROM k WHERE labelN <> ''")
+def keys_lt(spark, sf_dir):
+    return terms.with_key(view(spark, sf_dir, "v_terms").filter("keyType = 'LT'"), "text", stem=False).select("keywordId", "type", "text", "labelN")
+
+
+@_query("greek_normalise", f"SELECT doc_id, translate(concat('β-', text, '-γαω'), '{text.GREEK}', '{text.LATIN}') AS label FROM documents")
+def greek_normalise(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", text.transliterate(F.concat(F.lit("β-"), "text", F.lit("-γαω"))).alias("label"))
+
+
+# --- grounding ---
+
+_LOOKUP = f"""lk0 AS (SELECT DISTINCT CASE keyType WHEN 'LT' THEN {_lt_key_sql("text")} ELSE {_tt_key_sql("text")} END AS labelN, type, keywordId, factor FROM v_terms),
+lk AS (SELECT * FROM (SELECT a.*, n AS uniqueKeywordIdsPerLabelN FROM lk0 a JOIN (SELECT type, labelN, count(DISTINCT keywordId) AS n FROM lk0 WHERE labelN <> '' GROUP BY ALL) USING (type, labelN)))"""
+_LABELS = """vk AS (SELECT type, label, CASE kt WHEN 'LT' THEN {lt} ELSE {tt} END AS labelN FROM (
+  SELECT DISTINCT type, label, kt, translate(label, '{greek}', '{latin}') AS t FROM ({labels}) CROSS JOIN (VALUES ('LT'), ('TT')) k(kt) WHERE type IN ('GP', 'CD') AND kt = 'TT' OR type IN ('DS', 'GP', 'CD') AND kt = 'LT')),
+gl0 AS (SELECT vk.type, label, vk.labelN, keywordId, uniqueKeywordIdsPerLabelN FROM vk JOIN (SELECT *, max(factor) OVER (PARTITION BY type, labelN) AS best FROM lk) b USING (type, labelN) WHERE factor = best),
+gl AS (SELECT type, label, keywordId, labelN, uniqueKeywordIdsPerLabelN FROM gl0 QUALIFY row_number() OVER (PARTITION BY type, label, keywordId ORDER BY uniqueKeywordIdsPerLabelN, labelN) = 1)"""
+_LABELS = _LABELS.format(lt=_lt_key_sql("t"), tt=_tt_key_sql("t"), greek=text.GREEK, latin=text.LATIN, labels="{labels}")
+_MENTIONS = "mm AS (SELECT pmid, pmcid, section, type, label, startInSentence, endInSentence FROM v_matches)"
+_GROUNDED = f"{with_views('v_matches', 'v_terms')}, {_MENTIONS}, {_LOOKUP}, {_LABELS.replace('{labels}', 'SELECT type, label FROM mm')}"
+
+
+def _disambiguated(rows: str, keyword: str, count: str, kind: str) -> str:
+    inner = f"SELECT *, min({count}) OVER (PARTITION BY pmid, pmcid, {kind}, {keyword}) AS m1 FROM {rows}"
+    return f"SELECT * EXCLUDE (m1, m2) FROM (SELECT *, min(m1) OVER (PARTITION BY {kind}, {keyword}) AS m2 FROM ({inner})) WHERE m1 <= m2"
+
+
+def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_matches").select("pmid", "pmcid", "section", "type", "label", "startInSentence", "endInSentence")
+
+
+def _entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.entity_lookup(view(spark, sf_dir, "v_terms"), stem=False)
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_coocs").select("pmid", "pmcid", "type1", "label1", "type2", "label2", "evidence_score")
+
+
+@_query("entity_lut", f"{with_views('v_terms')}, {_LOOKUP} SELECT labelN, type, keywordId, factor, uniqueKeywordIdsPerLabelN FROM lk")
+def entity_lut(spark, sf_dir):
+    return _entity_lookup(spark, sf_dir)
+
+
+@_query("label_best_rank", f"{_GROUNDED} SELECT * FROM gl")
+def label_best_rank(spark, sf_dir):
+    return grounding.ground_labels(_mentions(spark, sf_dir), _entity_lookup(spark, sf_dir), stem=False)
+
+
+def _resolved(spark, sf_dir):
+    mentions = _mentions(spark, sf_dir)
+    return mentions, grounding.ground_labels(mentions, _entity_lookup(spark, sf_dir), stem=False)
+
+
+_GROUND_COLUMNS = ["pmid", "pmcid", "section", "type", "label", "labelN", "keywordId", "startInSentence", "endInSentence"]
+
+
+@_query("ground_matches", f"{_GROUNDED} SELECT {', '.join(_GROUND_COLUMNS)} FROM mm JOIN gl USING (type, label)")
+def ground_matches(spark, sf_dir):
+    mentions, known = _resolved(spark, sf_dir)
+    return mentions.join(known, ["type", "label"]).select(*_GROUND_COLUMNS)
+
+
+@_query("failed_matches", f"{_GROUNDED} SELECT pmid, pmcid, section, type, label, startInSentence, endInSentence FROM mm ANTI JOIN gl USING (type, label)")
+def failed_matches(spark, sf_dir):
+    return grounding.resolve_matches(*_resolved(spark, sf_dir))[1].select("pmid", "pmcid", "section", "type", "label", "startInSentence", "endInSentence")
+
+
+@_query("disambiguate", f"{_GROUNDED}, gm AS (SELECT * FROM mm JOIN gl USING (type, label)) SELECT {', '.join(_GROUND_COLUMNS)} FROM ({_disambiguated('gm', 'keywordId', 'uniqueKeywordIdsPerLabelN', 'type')})")
+def disambiguate(spark, sf_dir):
+    return grounding.resolve_matches(*_resolved(spark, sf_dir))[0].select(*_GROUND_COLUMNS)
+
+
+_COOC_COLUMNS = ["pmid", "pmcid", "type1", "label1", "labelN1", "keywordId1", "type2", "label2", "labelN2", "keywordId2", "evidence_score"]
+_GL = ["type", "label", "keywordId", "labelN", "uniqueKeywordIdsPerLabelN"]
+
+
+@_query(
+    "ground_cooccurrences",
+    f"""{with_views("v_coocs", "v_terms")}, cc AS (SELECT pmid, pmcid, type1, label1, type2, label2, evidence_score FROM v_coocs), {_LOOKUP},
+{_LABELS.replace("{labels}", "SELECT type1 AS type, label1 AS label FROM cc UNION SELECT type2, label2 FROM cc")},
+g0 AS (SELECT * FROM cc JOIN (SELECT {", ".join(f"{c} AS {c}1" for c in _GL)} FROM gl) USING (type1, label1) JOIN (SELECT {", ".join(f"{c} AS {c}2" for c in _GL)} FROM gl) USING (type2, label2)),
+g1 AS ({_disambiguated("g0", "keywordId1", "uniqueKeywordIdsPerLabelN1", "type1")}), g2 AS ({_disambiguated("g1", "keywordId2", "uniqueKeywordIdsPerLabelN2", "type2")})
+SELECT {", ".join(_COOC_COLUMNS)} FROM g2""",
+)
+def ground_cooccurrences(spark, sf_dir):
+    coocs = _pairs(spark, sf_dir)
+    labels = coocs.select(F.col("type1").alias("type"), F.col("label1").alias("label")).union(coocs.select("type2", "label2"))
+    known = grounding.ground_labels(labels, _entity_lookup(spark, sf_dir), stem=False)
+    return grounding.resolve_cooccurrences(coocs, known)[0].select(*_COOC_COLUMNS)
+
+
+# --- literature index ---
+
+_RANKS = "ranks AS (SELECT * FROM (VALUES ('title', 1, 1.0::DOUBLE), ('abstract', 1, 0.8), ('concl', 1, 0.7), ('results', 2, 0.6), ('discuss', 2, 0.5), ('methods', 3, 0.3), ('other', 4, 0.1)) r(section, rank, weight))"
+_WEIGHTS = f"""{with_views("v_matches")}, {_RANKS}, sw AS (SELECT pmid, keywordId, section, CAST(coalesce(rank, 100) AS BIGINT) AS rank, coalesce(weight, 0.01) AS weight,
+  CAST(CASE WHEN section = 'title' THEN 1 ELSE n END AS BIGINT) AS hits FROM (SELECT pmid, keywordId, section, count(*) AS n FROM v_matches WHERE isMapped GROUP BY ALL) LEFT JOIN ranks USING (section))"""
+_RELEVANCE = """x AS (SELECT pmid, keywordId, weight, row_number() OVER (PARTITION BY pmid, keywordId ORDER BY rank, weight DESC, section) AS k FROM (SELECT *, unnest(range(hits)) FROM {rows})),
+rel AS (SELECT pmid, keywordId, sum(weight / (k * k)) AS relevance FROM x GROUP BY ALL)"""
+_BEST = "(SELECT *, min(rank) OVER (PARTITION BY pmid, keywordId) AS best FROM sw) WHERE rank = best"
+
+
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_matches")
+
+
+@_query("section_weights", f"{_WEIGHTS} SELECT * FROM sw")
+def section_weights(spark, sf_dir):
+    return index.section_weights(index.mapped(_matches(spark, sf_dir)))
+
+
+@_query("literature_relevance", f"{_WEIGHTS}, {_RELEVANCE.format(rows=_BEST)} SELECT pmid, keywordId, round(relevance, 9) AS relevance FROM rel")
+def literature_relevance(spark, sf_dir):
+    return index.relevance(index.mapped(_matches(spark, sf_dir))).select("pmid", "keywordId", _r("relevance", "relevance"))
+
+
+@_query("literature_relevance_all", f"{_WEIGHTS}, {_RELEVANCE.format(rows='sw')} SELECT pmid, keywordId, round(relevance, 9) AS relevance FROM rel")
+def literature_relevance_all(spark, sf_dir):
+    return index.relevance(index.mapped(_matches(spark, sf_dir)), "all").select("pmid", "keywordId", _r("relevance", "relevance"))
+
+
+@_query(
+    "literature_index",
+    f"""{_WEIGHTS}, {_RELEVANCE.format(rows=_BEST)}, ab AS (SELECT pmid, keywordId, min(pmcid) AS pmcid, min(date) AS date, min(type) AS keywordType FROM v_matches WHERE isMapped GROUP BY ALL),
+hs AS (SELECT pmid, true AS has_sentences FROM v_matches WHERE isMapped AND section IN ('title', 'abstract') GROUP BY pmid)
+SELECT pmid, pmcid, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day, keywordId, round(relevance, 9) AS relevance, keywordType, coalesce(has_sentences, false) AS has_sentences
+FROM ab JOIN rel USING (pmid, keywordId) LEFT JOIN hs USING (pmid)""",
+)
+def literature_index(spark, sf_dir):
+    dated = _matches(spark, sf_dir).withColumns({"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")})
+    return index.literature_index(dated).withColumn("relevance", F.round("relevance", 9)).withColumn("has_sentences", F.col("sentences").isNotNull()).drop("sentences")
+
+
+@_query("section_sentences", f"{with_views('v_matches')} SELECT pmid, section, label, type AS keywordType, keywordId, startInSentence, endInSentence FROM v_matches WHERE isMapped AND section IN ('title', 'abstract')")
+def section_sentences(spark, sf_dir):
+    rows = index.mapped(_matches(spark, sf_dir)).withColumnRenamed("type", "keywordType")
+    sections = index.head_sentences(rows).select("pmid", F.explode("sections").alias("s")).select("pmid", "s.section", F.explode("s.matches").alias("m"))
+    return sections.select("pmid", "section", "m.label", "m.keywordType", "m.keywordId", "m.startInSentence", "m.endInSentence")
+
+
+@_query("section_sentences_json")
+def section_sentences_json(spark, sf_dir):
+    return index.head_sentences(index.mapped(_matches(spark, sf_dir)).withColumnRenamed("type", "keywordType")).select("pmid", F.to_json("sections").alias("sentences"))
+
+
+@_query(
+    "publication_terms",
+    f"""{with_views("v_matches")}, c AS (SELECT pmid, keywordId, min(pmcid) AS pmcid, min(date) AS date, count(*) AS n FROM v_matches WHERE isMapped GROUP BY ALL)
+SELECT pmid, min(pmcid) AS pmcid, min(date) AS pubDate, string_agg(concat(keywordId, ':', CAST(n AS STRING)), ' ' ORDER BY keywordId) AS counts FROM c GROUP BY pmid""",
+)
+def publication_terms(spark, sf_dir):
+    pairs = F.transform("countsPerTerm", lambda c: F.concat_ws(":", c["keywordId"], c["countsPerKey"].cast("string")))
+    return index.publication_terms(_matches(spark, sf_dir)).select("pmid", "pmcid", "pubDate", F.array_join(pairs, " ").alias("counts"))
+
+
+@_query("publication_sentences", f"{with_views('v_matches')} SELECT DISTINCT pmid, section, label, type, keywordId, startInSentence, endInSentence FROM v_matches WHERE isMapped AND section IN ('title', 'abstract')")
+def publication_sentences(spark, sf_dir):
+    rows = index.publication_sentences(_matches(spark, sf_dir)).select("pmid", F.explode("sentences").alias("s")).select("pmid", "s.section", F.explode("s.matches").alias("m"))
+    return rows.select("pmid", "section", "m.label", "m.type", "m.keywordId", "m.startInSentence", "m.endInSentence")
+
+
+@_query("publication_index")
+def publication_index(spark, sf_dir):
+    return index.publication_index(_matches(spark, sf_dir)).select("pmid", "pmcid", "pubDate", F.to_json("countsPerTerm").alias("countsPerTerm"), F.to_json("sentences").alias("sentences"))
+
+
+# --- embeddings ---
+
+
+@_query(
+    "training_bags",
+    f"""{with_views("v_matches")}, {_RANKS}, b AS (SELECT DISTINCT pmid, rank, keywordId FROM v_matches JOIN ranks USING (section) WHERE isMapped AND type IN ('DS', 'GP', 'CD'))
+SELECT pmid, string_agg(keywordId, ' ' ORDER BY keywordId) AS terms FROM b GROUP BY pmid, rank UNION ALL SELECT pmid, string_agg(keywordId, ' ' ORDER BY rank, keywordId) FROM b GROUP BY pmid""",
+)
+def training_bags(spark, sf_dir):
+    return embedding.training_bags(_matches(spark, sf_dir)).select("pmid", F.array_join("terms", " ").alias("terms"))
+
+
+@_query("word2vec_vectors")
+def word2vec_vectors(spark, sf_dir):
+    model = embedding.fit_word2vec(embedding.training_bags(_matches(spark, sf_dir)), deterministic=True)
+    return embedding.vector_table(embedding.model_vectors(model))
+
+
+@_query(
+    "vector_table",
+    f"""{with_views("v_vectors")} SELECT CASE WHEN starts_with(word, 'ENSG') THEN 'target' WHEN starts_with(word, 'CHEMBL') THEN 'drug' ELSE 'disease' END AS category, word,
+round(sqrt(list_sum(list_transform(vector, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 9) AS norm FROM v_vectors""",
+)
+def vector_table(spark, sf_dir):
+    return embedding.vector_table(view(spark, sf_dir, "v_vectors")).select("category", "word", _r("norm", "norm"))
+
+
+@_query(
+    "cosine_pairs",
+    f"""{with_views("v_vectors")}, d AS (SELECT word, CAST(vector AS DOUBLE[]) AS v FROM v_vectors)
+SELECT a.word AS target, b.word AS disease, round(list_cosine_similarity(a.v, b.v), 9) AS similarity FROM d a JOIN d b ON a.word = concat('ENSG', substr(b.word, 5)) AND starts_with(b.word, 'EFO_')""",
+)
+def cosine_pairs(spark, sf_dir):
+    words = view(spark, sf_dir, "v_vectors")
+    targets = words.select(F.col("word").alias("target"), F.col("vector").alias("a"))
+    diseases = words.filter(F.col("word").startswith("EFO_")).select(F.col("word").alias("disease"), F.col("vector").alias("b"))
+    pairs = targets.join(diseases, F.col("target") == F.concat(F.lit("ENSG"), F.substring("disease", 5, 100)))
+    return pairs.select("target", "disease", _r(scoring.cosine(F.col("a"), F.col("b")), "similarity"))
+
+
+# --- evidence ---
+
+_FREQUENCY = f"{with_views('v_matches', 'v_vectors')}, {_RANKS}, kf AS (SELECT pmid, type, keywordId, count(*) AS f FROM v_matches SEMI JOIN ranks USING (section) WHERE isMapped GROUP BY ALL)"
+_PAIRS = """d AS (SELECT word, CAST(vector AS DOUBLE[]) AS v FROM v_vectors),
+pp AS (SELECT t.keywordId AS targetFromSourceId, s.keywordId AS diseaseFromSourceMappedId, avg(t.f) AS mt, avg(s.f) AS md, CAST(count(*) AS INTEGER) AS n FROM kf t JOIN kf s USING (pmid) WHERE t.type = 'GP' AND s.type = 'DS' AND t.keywordId <> s.keywordId GROUP BY ALL),
+em AS (SELECT targetFromSourceId, diseaseFromSourceMappedId, mt, md, n, list_cosine_similarity(a.v, b.v) AS similarity FROM pp JOIN d a ON a.word = targetFromSourceId JOIN d b ON b.word = diseaseFromSourceMappedId),
+ev AS (SELECT *, similarity * list_sum(list_transform(range(1, n + 1), lambda k: 1.0::DOUBLE / (k * k))) AS score FROM em WHERE similarity > 0.01)"""
+_PAIR_COLUMNS = "targetFromSourceId, diseaseFromSourceMappedId, 'ew2v' AS datasourceId, 'literature' AS datatypeId, round(score, 9) AS resourceScore, round(similarity, 9) AS similarity, round(score, 9) AS harmonicSimilarity, n AS sharedPublicationCount, round(mt, 9) AS meanTargetFreqPerPub, round(md, 9) AS meanDiseaseFreqPerPub"
+_COOC_EVIDENCE = """ce AS (SELECT keywordId1 AS targetFromSourceId, keywordId2 AS diseaseFromSourceMappedId, sum(score / (k * k)) AS h, count(DISTINCT pmid) AS c
+FROM (SELECT *, evidence_score / 10 AS score, row_number() OVER (PARTITION BY keywordId1, keywordId2 ORDER BY evidence_score DESC) AS k FROM v_coocs WHERE isMapped AND type1 = 'GP' AND type2 = 'DS' AND length(text) < 600) GROUP BY ALL)"""
+_ROUNDED = ("resourceScore", "similarity", "harmonicSimilarity", "meanTargetFreqPerPub", "meanDiseaseFreqPerPub", "harmonicCooccurrenceSentiment")
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in _ROUNDED if c in df.columns})
+
+
+@_query("keyword_frequency", f"{_FREQUENCY} SELECT * FROM kf")
+def keyword_frequency(spark, sf_dir):
+    return evidence.keyword_frequency(_matches(spark, sf_dir))
+
+
+@_query("pair_evidence", f"{_FREQUENCY}, {_PAIRS} SELECT {_PAIR_COLUMNS} FROM ev")
+def pair_evidence(spark, sf_dir):
+    return _rounded(evidence.evidence_from_matches(_matches(spark, sf_dir), view(spark, sf_dir, "v_vectors")))
+
+
+@_query("cooc_evidence", f"{with_views('v_coocs')}, {_COOC_EVIDENCE} SELECT targetFromSourceId, diseaseFromSourceMappedId, round(h, 9) AS harmonicCooccurrenceSentiment, c AS cooccurredPublicationCount FROM ce")
+def cooc_evidence(spark, sf_dir):
+    return _rounded(evidence.evidence_from_cooccurrences(view(spark, sf_dir, "v_coocs")))
+
+
+@_query(
+    "evidence",
+    f"""{_FREQUENCY}, v_coocs AS ({with_views("v_coocs").split("v_coocs AS (", 1)[1][:-1]}), {_PAIRS}, {_COOC_EVIDENCE}
+SELECT {_PAIR_COLUMNS}, round(coalesce(h, 0), 9) AS harmonicCooccurrenceSentiment, coalesce(c, 0) AS cooccurredPublicationCount FROM ev LEFT JOIN ce USING (targetFromSourceId, diseaseFromSourceMappedId)""",
+)
+def evidence_query(spark, sf_dir):
+    return _rounded(evidence.generate_evidence(_matches(spark, sf_dir), view(spark, sf_dir, "v_coocs"), view(spark, sf_dir, "v_vectors")))
+
+
+# --- tables ---
+
+
+@_query("schema_rename", "SELECT vec_id AS vecId, label AS labelOf, len(embedding) AS size FROM embeddings")
+def schema_rename(spark, sf_dir):
+    nested = _table(spark, sf_dir, "embeddings").select("vec_id", F.array(F.struct(F.col("label").alias("label of"), F.size("embedding").cast("long").alias("size"))).alias("row_data"))
+    renamed = tables.snake_to_camel(tables.spaces_to_underscores(nested))
+    return renamed.select("vecId", F.explode("rowData").alias("r")).select("vecId", "r.*")
+
+
+@_query("harmonic_scores", "SELECT l_orderkey, round(sum(v / (k * k)), 9) AS harmonic FROM (SELECT l_orderkey, l_quantity / 50 AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) AS k FROM lineitem) GROUP BY l_orderkey")
+def harmonic_scores(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_quantity") / 50).alias("vs")).select("l_orderkey", _r(scoring.harmonic(F.col("vs")), "harmonic"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping
+from pathlib import Path
+from shutil import make_archive
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +28,12 @@ def get_session(app_name: str = "litloom", master: str | None = None, conf: Mapp
     for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application; their path may lack it."""
+    context = spark.sparkContext
+    if not getattr(context, "_litloom_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        context.addPyFile(make_archive(f"{tempfile.mkdtemp(prefix='litloom-')}/litloom", "zip", root, "litloom"))
+        context._litloom_shipped = True
