@@ -29,6 +29,8 @@ from litloom.llm.runtime import ship, staged, with_row_key
 CHUNK, BATCH_BYTES = 1 << 19, 1 << 21
 #: Classes of one gram that a bucket takes in together; bytes of text that it sorts at a time.
 HOT, BUCKET_BYTES = 20_000, 1 << 21
+#: A class with more than one in so many of all members is a crowd.
+CROWDS = 512
 _PLACE = 24  # bits for a place in a chunk
 
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -320,12 +322,20 @@ def repeated_spans(docs: DataFrame, kind: Kind, verdict, spare_first: bool, hot:
         sized = back.groupBy("gram", "content").agg(F.collect_list("i").alias("at")).join(classes.select("gram", "content", "windows"), ["gram", "content"])
         masks = masks.unionByName(sized.mapInArrow(_mask, "gram long, content long, mask binary"))
     settled = classes.join(masks, ["gram", "content"], "left").filter("n > 1 or mask is not null").select("gram", "content", "n", "first", "mask")
-    hit = members.join(settled, ["gram", "content"])
+    # Members of a crowded class are all repeats but its first one, which alone goes on to the verdicts. There are
+    # fewer than CROWDS such classes, so they are broadcast, and no task gets a crowd.
+    least = max(1, (classes.agg(F.sum("n")).first()[0] or 0) // CROWDS)
+    crowds = F.broadcast(classes.filter(F.col("n") > least).select("gram", "content", F.col("first").alias("chief")))
+    marked = members.join(crowds, ["gram", "content"], "left")
+    place = F.struct("did", "rid", "start")
+    crowd = marked.filter(F.col("chief").isNotNull() & (place != F.col("chief"))).withColumn("mask", F.lit(None).cast("binary"))
+    hit = marked.filter(F.col("chief").isNull() | (place == F.col("chief"))).join(settled, ["gram", "content"])
     if spare_first:
-        earliest = F.struct("did", "rid", "start") == F.col("first")
-        hit = hit.withColumn("mask", F.when(earliest, F.coalesce("mask", F.lit(b"")))).filter(F.col("mask").isNull() | (F.octet_length("mask") > 0))
+        hit = hit.withColumn("mask", F.when(place == F.col("first"), F.coalesce("mask", F.lit(b"")))).filter(F.col("mask").isNull() | (F.octet_length("mask") > 0))
     else:
         hit = hit.withColumn("mask", F.when(F.col("n") == 1, F.col("mask")))
+    part = ["rid", "did", "start", "windows", "mask"]
+    hit = hit.select(*part).unionByName(crowd.select(*part))
     spans = hit.groupBy("rid", "did").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("spans"))
     return rows, spans
 
