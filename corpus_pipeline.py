@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litloom.llm import jaccard, mix, pack, resample, substring
-from litloom.llm.runtime import staged, with_row_key
+from litloom.llm.runtime import all_columns, as_scan, staged
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +26,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the words of windows that occur more than once; a changed text has its words joined by
     one space, and the length of a changed text is its own."""
+    docs = as_scan(docs)
     cut = substring.dedup_substrings(docs).filter("n_removed > 0").select("rid", "did", F.col("text").alias("cut"), F.lit(True).alias("changed"))
-    rows = with_row_key(docs, *docs.columns).join(cut, ["rid", "did"], "left")
-    new = {"text": F.when(F.col("changed"), F.col("cut")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("changed"), F.char_length("cut").cast("long")).otherwise(F.col("n_chars"))
-    return rows.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
+    rows, names = all_columns(docs)
+    new = {"text": F.when(F.col("changed"), F.col("cut")).otherwise(F.col(names["text"]))}
+    if "n_chars" in names:
+        new["n_chars"] = F.when(F.col("changed"), F.char_length("cut").cast("long")).otherwise(F.col(names["n_chars"]))
+    return rows.join(cut, ["rid", "did"], "left").select(*(new.get(c, F.col(n)).alias(c) for c, n in names.items()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

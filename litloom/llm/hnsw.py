@@ -251,8 +251,8 @@ def brute_force(rows: list[tuple], least: float = COSINE) -> dict[int, tuple[int
             i = root[i]
         return i
 
-    for label in {r[2] for r in sound}:
-        mine = [r for r in sound if r[2] == label]
+    for kind in {(r[2], len(r[1])) for r in sound}:
+        mine = [r for r in sound if (r[2], len(r[1])) == kind]
         x = np.array([r[1] for r in mine])
         norm = np.sqrt((x * x).sum(1))
         for k, (i, v, _) in enumerate(mine):

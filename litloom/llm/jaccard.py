@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from litloom.llm.components import components
-from litloom.llm.runtime import ship, staged, with_row_key
+from litloom.llm.runtime import as_scan, keep_rows, ship, staged, with_row_key
 from litloom.llm.windows import Spans, _batches, _mix, word_units
 
 SHINGLE = 5
@@ -21,8 +21,8 @@ THRESHOLD = Fraction(3, 4)
 LOAD = 2.2
 #: Shingles known as frequent, at most; they only order signatures, so the bound changes no result.
 FREQUENT = 1 << 16
-#: Hubs tried for a group before its remaining pairs are compared one by one.
-HUB_ROUNDS = 3
+#: Hubs that a group tries, after its most central one, before its remaining pairs are compared one by one.
+HUB_ROUNDS = 2
 #: Members that are compared with one copy of a hub's set.
 HUB_MEMBERS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -138,7 +138,7 @@ def _sign(buckets: int, frequent: np.ndarray):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each bucket, the distinct groups of two sets or more that share a signature."""
+    """For each bucket, the distinct groups of two sets or more that share a signature, and how many they share."""
     def groups(owners: list[np.ndarray], tokens: list[np.ndarray]) -> pa.RecordBatch:
         owner, token = np.concatenate(owners), np.concatenate(tokens)
         order = np.lexsort((owner, token))
@@ -149,10 +149,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(edge, len(token)))
         name = _mix(np.add.reduceat(_mix(owner.view(np.uint64)), edge) + size.astype(np.uint64))
         several = np.flatnonzero(size > 1)
-        first = several[np.unique(name[several], return_index=True)[1]]
+        _, first, times = np.unique(name[several], return_index=True, return_counts=True)
+        first = several[first]
         values = owner[np.repeat(edge[first] - np.cumsum(size[first]) + size[first], size[first]) + np.arange(size[first].sum())]
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[first])), pa.int32()), pa.array(values))
-        return pa.RecordBatch.from_arrays([pa.array(name[first].view(np.int64)), lists], ["name", "members"])
+        return pa.RecordBatch.from_arrays([pa.array(name[first].view(np.int64)), pa.array(times.astype(np.int64)), lists], ["name", "times", "members"])
 
     owners, tokens, now = [], [], None
     for batch in batches:
@@ -232,14 +233,19 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     frequent = np.sort(np.array([r.h1 for r in top], np.int64).view(np.uint64))
     buckets = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     signed = rows.select("text").mapInArrow(_sign(buckets, frequent), "bucket int, owners binary, counts binary, tokens binary")
-    groups = staged(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "name long, members array<long>").dropDuplicates(["name"]), "groups")
+    groups = staged(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "name long, times long, members array<long>").groupBy("name").agg(F.sum("times").alias("times"), F.first("members").alias("members")), "groups")
 
     named = groups.select(F.explode("members").alias("h1")).distinct()
     wanted = classes.join(named, "h1").select("h1", "rid", "did")
     texts = staged(rows.join(wanted, ["rid", "did"]).select("h1", "text"), "texts")
 
-    # First every set with one hub, the smallest of those in its groups.
-    pairs = groups.select(F.col("members")[0].alias("hub"), F.explode("members").alias("x")).filter("hub != x").groupBy("x").agg(F.min("hub").alias("hub"))
+    # First every set with one hub: of those that it shares a signature with, the one that shares most with any.
+    # Copies of one text differ from it less than from each other, so it is their hub if it is there.
+    member = groups.select("name", F.explode("members").alias("v"), (F.col("times") * F.size("members")).alias("weight"))
+    share = member.groupBy("v").agg(F.sum("weight").alias("share"))
+    best = member.join(share, "v").groupBy("name").agg(F.max("share").alias("share"), F.max_by("v", F.struct("share", "v")).alias("hub"))
+    pairs = member.join(best, "name").groupBy(F.col("v").alias("x")).agg(F.max_by("hub", F.struct("share", "hub")).alias("hub")).filter("hub != x")
+    pairs = staged(pairs, "pairs")
     links = staged(_links(pairs, texts, threshold), "links")
     tried = staged(pairs.select("hub", "x"), "tried")
     left = groups
@@ -272,10 +278,11 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
 
 def one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     """docs with one row for each component: that of the smallest doc_id, and of the smallest row key if it has several."""
+    docs = as_scan(docs)
     found = similar_documents(docs, threshold)
     single = found.filter("n_shingles = 0").select("rid", "did")
     kept = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id", "did").agg(F.min("rid").alias("rid")).select("rid", "did").union(single)
-    return with_row_key(docs, *docs.columns).join(kept, ["rid", "did"], "left_semi").select(*docs.columns)
+    return keep_rows(docs, kept)
 
 
 def jaccard_digest(docs: DataFrame) -> DataFrame:

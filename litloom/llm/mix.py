@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import WORD, staged, with_row_key
+from litloom.llm.runtime import WORD, all_columns, as_scan, staged, with_row_key
 
 #: Words in a block. Larger blocks make fewer rows; a source's take is met to within about one block.
 BLOCK_WORDS = 256
@@ -47,10 +47,10 @@ def source_targets(sizes: DataFrame, cap: int = 3) -> DataFrame:
 
 def lay_out(sizes: DataFrame) -> DataFrame:
     """The rows with their offset in the words of their source, by prefix sums over lanes and within them."""
-    laned = sizes.withColumn("lane", F.pmod(F.xxhash64("did", "rid"), F.lit(LANES)))
+    laned = sizes.withColumn("lane", F.pmod(F.xxhash64("did", "size"), F.lit(LANES)))
     lanes = laned.groupBy("sid", "lane").agg(F.sum("size").alias("words"))
     bases = lanes.select("sid", "lane", F.coalesce(F.sum("words").over(W.partitionBy("sid").orderBy("lane").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    upto = F.sum("size").over(W.partitionBy("sid", "lane").orderBy("did", "rid").rowsBetween(W.unboundedPreceding, 0))
+    upto = F.sum("size").over(W.partitionBy("sid", "lane").orderBy("did", "size", "rid").rowsBetween(W.unboundedPreceding, 0))
     return laned.withColumn("upto", upto).join(bases, ["sid", "lane"]).withColumn("offset", F.col("base") + F.col("upto") - F.col("size")).drop("lane", "upto", "base")
 
 
@@ -76,7 +76,7 @@ def mix_plan(docs: DataFrame, n_shards: int = 64, block_words: int = BLOCK_WORDS
     """(rows, takes): every row with size, source_size and target; and for each piece of a row that lies in a
     block of its source, where it starts in the row, its words, and how many slots took the block.
 
-    Word order is (lane, doc_id, row key) within a source, so reruns agree. A null source is a source of its
+    Within a source rows lie in the order of (lane, doc_id, size), so reruns agree. A null source is a source of its
     own, the last; null, empty and blank texts have size 0 and are never taken. Repeated rows are rows of
     their own. No block is taken more than three times, so no row is. An empty table gives no rows.
     """
@@ -109,17 +109,18 @@ def mix_documents(docs: DataFrame, n_shards: int = 64, block_words: int = BLOCK_
     A row that no slot took is gone; one that several passes took comes up to three times with its doc_id.
     Columns are those of docs; n_chars, where there is one, is that of the new text.
     """
+    docs = as_scan(docs)
     _, takes = mix_plan(docs, n_shards, block_words, seed)
     passes = (
         takes.withColumn("pass", F.explode(F.expr("sequence(1, cast(copies as int))")))
         .groupBy("rid", "did", "pass")
         .agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("cuts"))
     )
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    rows, names = all_columns(docs)
+    words = F.regexp_extract_all(names["text"], F.lit(WORD), F.lit(0))
     # The one-element array holds the words, so that they are found once and not for each cut.
     cut = F.transform(F.array(words), lambda w: F.flatten(F.transform("cuts", lambda c: F.slice(w, c["start"] + 1, c["words"]))))[0]
     new = {"text": F.array_join(cut, " ")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.char_length(new["text"]).cast("long")
-    columns = [c for c in docs.columns if c not in ("rid", "did", "pass", "cuts")]
-    return with_row_key(docs, *columns).join(passes, ["rid", "did"]).select(*(new.get(c, F.col(c)).alias(c) for c in columns))
+    return rows.join(passes, ["rid", "did"]).select(*(new.get(c, F.col(n)).alias(c) for c, n in names.items()))

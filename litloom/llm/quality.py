@@ -53,8 +53,8 @@ def line_rules(lines: Column) -> Column:
 
     punctuation: it doesn't end as prose does, and is no short heading. navigation: items between separators.
     boilerplate: a stock phrase of licences, policies and menus. shouting: most words end in a mark and no
-    letter is small. symbols: at least one word in four carries one of SYMBOLS. repeated: the same word makes
-    up half of the line, in a line of ten words or more.
+    letter is small. symbols: at least one word in four carries one of SYMBOLS. repeated: half of
+    the words, in a line of ten or more, are the same as the one before.
     """
     def rules(line: Column) -> Column:
         n = F.regexp_count(line, F.lit(WORD))
@@ -69,7 +69,7 @@ def line_rules(lines: Column) -> Column:
             line.rlike(BOILERPLATE).alias("boilerplate"),
             ((F.char_length(letters) >= 20) & (letters == F.upper(letters)) & (letters != F.lower(letters))).alias("shouting"),
             (symbols * 4 >= n).alias("symbols"),
-            ((n >= 10) & (F.size(F.array_distinct(words)) * 4 < n)).alias("repeated"),
+            ((n >= 10) & (_let(words, lambda ws: F.size(F.filter(ws, lambda w, i: w == F.get(ws, i - 1)))) * 2 >= n)).alias("repeated"),
         )
 
     return F.filter(F.transform(lines, rules), lambda x: x["n"] > 0)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import ship, staged, with_row_key
+from litloom.llm.runtime import as_scan, keep_rows, ship, staged, with_row_key
 from litloom.llm.windows import Spans, _batches, _mix, word_units
 
 #: Buckets of the hashed n-grams; the models are two arrays of this length.
@@ -120,7 +120,7 @@ def log_ratio(target: np.ndarray, n_target: int, raw: np.ndarray, n_raw: int, ot
         order = np.argsort(ratio[common])
         weight = np.cumsum(target[common][order])
         ratio -= ratio[common][order][np.searchsorted(weight, weight[-1] / 2)]
-    expected = n_other * p
+    expected = np.maximum(n_other * p, 1e-9)
     evidence = 2 * (other * np.log(np.maximum(other, 1) / expected) - other + expected)
     telling = (other >= FACTOR * expected) & (evidence >= EVIDENCE)
     return np.where((ratio <= -np.log(FACTOR)) & telling, ratio, 0).astype(np.float32)
@@ -204,9 +204,9 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     log_weight is the sum over a text's features of log(target / raw), so target text lies about 0 at any length
     and other text far below. The sample has as many
     documents as weigh at least the cut that parts the labelled ones best, and is drawn without replacement by
-    the largest log_weight + Gumbel noise, which comes from a hash of the row, so reruns agree. Texts that
+    the largest log_weight + Gumbel noise, which comes from a hash of doc_id, so reruns agree. Texts that
     are null, empty or blank are never drawn. Without labels of both kinds every other text is. Repeated rows
-    draw their own noise; a doc_id with several labels counts as its worst; unlabelled documents take part.
+    are drawn alike, but for a tie at the end; a doc_id with several labels counts as its worst; unlabelled documents take part.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -214,7 +214,7 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     table = spark.sparkContext.broadcast(models.ratio)
     rows = with_row_key(docs, "doc_id", "text").select("rid", "did", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scored = rows.mapInArrow(_weigh(table, len(models.ratio)), "rid long, did long, doc_id long, n_ngrams long, log_weight double")
-    uniform = (F.pmod(F.xxhash64("rid", "did", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    uniform = (F.pmod(F.xxhash64("did", "n_ngrams", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     scored = staged(scored.withColumn("key", F.when(F.col("n_ngrams") > 0, F.col("log_weight") - TEMPERATURE * F.log(-F.log(uniform)))), "weights")
     k = scored.filter((F.col("n_ngrams") > 0) & (F.col("log_weight") >= models.cut)).count()
     return top_k(scored, k).withColumn("kept", F.coalesce("kept", F.lit(False)))
@@ -226,5 +226,5 @@ def resample_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drawn_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that the sample leaves out."""
-    kept = resample(docs, labels).filter("kept").select("rid", "did")
-    return with_row_key(docs, *docs.columns).join(kept, ["rid", "did"], "left_semi").select(*docs.columns)
+    docs = as_scan(docs)
+    return keep_rows(docs, resample(docs, labels).filter("kept"))

@@ -6,9 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litloom.session import ship_package as ship  # noqa: F401
+
 #: A word is a maximal run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,33 +37,35 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(docs: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
-    """The named columns and `rid`, `did`, which together name a row even where doc_id (key) is null or repeated.
+def as_scan(docs: DataFrame) -> DataFrame:
+    """docs, if its rows are known by file and place in it; else staged, so that they are.
+
+    An operator that names the rows of its input more than once does this first, so that the names agree.
+    """
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return staged(docs, "rows")
+
+
+def with_row_key(docs: DataFrame, *columns: str | Column, key: str = "doc_id") -> DataFrame:
+    """The columns and `rid`, `did`, which together name a row even where doc_id (key) is null or repeated.
 
     rid hashes the file and the row's index in it, which do not depend on how a scan is split, so every
     scan of the table finds the same keys; did is doc_id, 0 for null. What isn't a plain scan is staged first.
     """
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select(
-            *columns,
-            F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("rid"),
-            F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("did"),
-        )
+    rid = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return as_scan(docs).select(*columns, rid.alias("rid"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("did"))
 
-    try:
-        return keyed(docs)
-    except AnalysisException:
-        return keyed(staged(docs.select(*columns), "rows"))
 
+def all_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs by row key, its columns under names that clash with nothing, and these names by the columns' own."""
+    names = {c: f"_column_{i}" for i, c in enumerate(docs.columns)}
+    return with_row_key(docs, *(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for each application; their path may lack it."""
-    from pathlib import Path
-    from shutil import make_archive
 
-    context = spark.sparkContext
-    if getattr(context, "_litloom_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[2]
-    context.addPyFile(make_archive(f"{tempfile.mkdtemp(prefix='litloom-')}/litloom", "zip", root, "litloom"))
-    context._litloom_shipped = True
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose key is among keys (rid, did), with all of their columns."""
+    rows, names = all_columns(docs)
+    return rows.join(keys.select("rid", "did"), ["rid", "did"], "left_semi").select(*(F.col(n).alias(c) for c, n in names.items()))

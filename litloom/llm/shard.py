@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import staged, with_row_key
+from litloom.llm.runtime import all_columns, as_scan, staged, with_row_key
 
 
 def shard_sizes(docs: DataFrame) -> DataFrame:
@@ -53,14 +53,16 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 24) -> DataFrame:
 
     The shards' first keys, n_shards rows, are all that is sent around; each row finds its shard by them.
     """
-    columns = [c for c in docs.columns if c not in ("rid", "did", "shard")]
+    docs = as_scan(docs)
     assigned = staged(assign_shards(docs, n_shards), "shards")
     firsts = assigned.filter("slot = 0").select("shard", F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), "rid").orderBy("shard").collect()
-    key = F.struct(F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("k"), F.col("rid"))
+    rows, names = all_columns(docs)
+    key = F.struct(F.coalesce(F.col(names["doc_id"]).cast("long"), F.lit(-(2**63))).alias("k"), F.col("rid"))
     shard = F.lit(firsts[0].shard if firsts else 0)
     for row in firsts[1:]:
         shard = F.when(key >= F.struct(F.lit(row.k).cast("long").alias("k"), F.lit(row.rid).alias("rid")), F.lit(row.shard)).otherwise(shard)
-    with_row_key(docs, *columns).withColumn("shard", shard).drop("rid", "did").write.partitionBy("shard").parquet(path)
+    own = {c: n for c, n in names.items() if c.lower() != "shard"}  # the folders' name is taken
+    rows.select(*(F.col(n).alias(c) for c, n in own.items()), shard.alias("shard")).write.partitionBy("shard").parquet(path)
     return assigned
 
 
