@@ -102,19 +102,18 @@ def _weigh(ratio, buckets: int):
     return run
 
 
-def _model(texts: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
-    """Counts by bucket, and of texts; the driver gets one row for each bucket at most."""
-    out = np.zeros(buckets + 1)
-    counted = texts.mapInArrow(_count(buckets), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    return out[:-1], int(out[-1])
+def _counts(texts: DataFrame, name: str, buckets: int) -> DataFrame:
+    """bucket and its count, as name; bucket -1 counts texts."""
+    return texts.mapInArrow(_count(buckets), "bucket long, n long").groupBy("bucket").agg(F.sum("n").cast("double").alias(name))
 
 
-def log_ratio(target: np.ndarray, n_target: int, raw: np.ndarray, n_raw: int, other: np.ndarray, n_other: int) -> np.ndarray:
+def log_ratio(target: np.ndarray, n_target: float, raw: np.ndarray, n_raw: float, other: np.ndarray, n_other: float) -> np.ndarray:
     """log(target / raw) of each bucket, less what most target text has, as raw text holds it too; 0 where the
     two models don't differ enough to tell."""
     p, q = (target + 0.5) / (n_target + 1), (raw + 0.5) / (n_raw + 1)
     ratio = np.log(p / q)
+    if not len(ratio):
+        return ratio
     common = (raw >= 0.01 * n_raw) & (target > 0)
     if common.any():
         order = np.argsort(ratio[common])
@@ -154,10 +153,19 @@ def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit:
     marked = labels.select(F.col("doc_id").alias("did"), kind.alias("good")).filter("good is not null and did is not null").groupBy("did").agg(F.min("good").alias("good"))
     picked = marked.filter("good = 1").orderBy(F.xxhash64("did"), "did").limit(fit).union(marked.filter("good = 0").orderBy(F.xxhash64("did"), "did").limit(fit))
     sample = staged(texts.join(picked, "did").select("good", "text"), "labelled")
-    raw = _model(texts.select("text"), buckets)
-    target = _model(sample.filter("good = 1").select("text"), buckets)
-    other = _model(sample.filter("good = 0").select("text"), buckets)
-    ratio = log_ratio(*target, *raw, *other)
+    counts = _counts(texts.select("text"), "raw", buckets)
+    for name, good in (("target", 1), ("other", 0)):
+        counts = counts.join(_counts(sample.filter(F.col("good") == good).select("text"), name, buckets), "bucket", "left")
+    counts = staged(counts.fillna(0), "counts")
+    n = counts.filter("bucket = -1").first()
+    if n is None:  # no documents
+        return Models(np.zeros(buckets, np.float32), float("-inf"))
+    expected = F.greatest(n.other * (F.col("target") + 0.5) / (n.target + 1), F.lit(1e-9))
+    evidence = 2 * (F.col("other") * F.log(F.greatest(F.col("other"), F.lit(1.0)) / expected) - F.col("other") + expected)
+    # What log_ratio can use: buckets that tell, and those that many texts have. The driver gets no others.
+    use = counts.filter((F.col("bucket") >= 0) & ((F.col("other") >= FACTOR * expected) & (evidence >= EVIDENCE) | (F.col("raw") >= 0.01 * n.raw))).toPandas()
+    ratio = np.zeros(buckets, np.float32)
+    ratio[use["bucket"].to_numpy()] = log_ratio(use["target"].to_numpy(), n.target, use["raw"].to_numpy(), n.raw, use["other"].to_numpy(), n.other)
     scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast(ratio), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
     good = scored["good"].to_numpy() == 1
     weight = scored["log_weight"].to_numpy()
