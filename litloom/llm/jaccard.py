@@ -21,8 +21,8 @@ THRESHOLD = Fraction(3, 4)
 LOAD = 2.2
 #: Shingles known as frequent, at most; they only order signatures, so the bound changes no result.
 FREQUENT = 1 << 16
-#: Hubs that a group tries, after its most central one, before its remaining pairs are compared one by one.
-HUB_ROUNDS = 2
+#: Sets of a crowd that a task holds while the whole crowd passes by; a larger crowd has several such tasks.
+BLOCK = 4096
 #: Members that are compared with one copy of a hub's set.
 HUB_MEMBERS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -202,6 +202,101 @@ def _compare(threshold: Fraction):
     return run
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of how many elements fall in each of 2 to 4 times as many bins as there are elements.
+
+    Two sketches, the longer one folded, differ in no more bits than their sets do in elements.
+    """
+    bits = max(64, 4 << (len(s).bit_length() - 1))
+    odd = np.bincount((s >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def fold(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (a row each) with neighbouring bins joined until they are `words` long."""
+    while sketches.shape[1] > words:
+        pairs = np.unpackbits(sketches.view(np.uint8), axis=1).reshape(len(sketches), -1, 2)
+        sketches = np.packbits(pairs[:, :, 0] ^ pairs[:, :, 1], axis=1).view(np.uint64)
+    return sketches
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, offsets in _batches(batches):
+        sets = list(shingle_sets(data, offsets))
+        yield pa.RecordBatch.from_arrays([rows.column("h1"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary())], ["v", "n", "sketch"])
+
+
+def _cross(threshold: Fraction):
+    """Rows come sorted by crowd and part: first the sets that the part holds, then all of the crowd. Out go pairs
+    from different components that sizes and sketches don't rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        blocks: dict[int, tuple[np.ndarray, ...]] = {}
+
+        def hold() -> dict[int, tuple[np.ndarray, ...]]:
+            by_words: dict[int, list] = {}
+            for v, root, n, sk in held:
+                by_words.setdefault(len(sk) // 8, []).append((v, root, n, sk))
+            return {w: (*(np.array([x[i] for x in xs], np.int64) for i in range(3)), np.frombuffer(b"".join(x[3] for x in xs), np.uint64).reshape(len(xs), w)) for w, xs in by_words.items()}
+
+        for batch in batches:
+            hub, other = [], []
+            passing: dict[int, list] = {}
+
+            def compare(passing=passing, hub=hub, other=other) -> None:
+                for w, xs in passing.items():
+                    v, root, n = (np.array([x[i] for x in xs], np.int64) for i in range(3))
+                    sk = np.frombuffer(b"".join(x[3] for x in xs), np.uint64).reshape(len(xs), w)
+                    for u, (v2, root2, n2, sk2) in blocks.items():
+                        if not w // 2 <= u <= 2 * w:
+                            continue
+                        a, b = fold(sk, min(u, w)), fold(sk2, min(u, w))
+                        step = max(1, (1 << 22) // b.size)
+                        for i in range(0, len(a), step):
+                            size, both = slice(i, i + step), n[i : i + step, None] + n2
+                            far = np.bitwise_count(a[size, None] ^ b).sum(-1, dtype=np.int64)
+                            near = (far * (threshold.numerator + threshold.denominator) <= both * (threshold.denominator - threshold.numerator)) & (root[size, None] != root2)
+                            p, q = np.nonzero(near)
+                            hub += np.minimum(v[i + p], v2[q]).tolist()
+                            other += np.maximum(v[i + p], v2[q]).tolist()
+                passing.clear()
+
+            for crowd, part, guest, v, root, n, sk in zip(*(batch.column(c).to_pylist() for c in ("crowd", "part", "guest", "v", "root", "n", "sketch")), strict=True):
+                if (crowd, part) != now:
+                    compare()
+                    now, held, blocks = (crowd, part), [], {}
+                if not guest:
+                    held.append((v, root, n, sk))
+                    continue
+                if held:
+                    blocks, held = hold(), []
+                passing.setdefault(len(sk) // 8, []).append((v, root, n, sk))
+            compare()
+            yield pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(other, pa.int64())], ["hub", "x"])
+
+    return run
+
+
+def _crossing(groups: DataFrame, root: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (hub, x) of different components that may be similar, among sets that share a signature.
+
+    Groups that aren't of one component yet belong to the crowd of their commonest component. A crowd's sets that
+    aren't of that component are held, BLOCK to a part, and compared with all of the crowd by their sketches; so
+    every pair of different components in a group is compared, and no pair is made before it has passed.
+    """
+    members = groups.select("name", F.explode("members").alias("v")).join(root, "v", "left").select("name", "v", F.coalesce("root", "v").alias("root"))
+    shares = members.groupBy("name", "root").agg(F.count("*").alias("n"))
+    main = shares.groupBy("name").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("crowd")).filter("roots > 1").select("name", "crowd")
+    of = staged(members.join(main, "name").select("crowd", "v", "root").distinct().join(sketches, "v"), "crowds")
+    parts = of.groupBy("crowd").agg(F.ceil(F.count_if(F.col("root") != F.col("crowd")) / BLOCK).alias("parts"))
+    sized = of.join(parts, "crowd")
+    hosts = sized.filter("root != crowd").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts"))).withColumn("guest", F.lit(False))
+    guests = sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("guest", F.lit(True))
+    columns = ["crowd", "part", "guest", "v", "root", "n", "sketch"]
+    rows = hosts.select(*columns).unionByName(guests.select(*columns)).repartition("crowd", "part").sortWithinPartitions("crowd", "part", "guest", "n")
+    return rows.mapInArrow(_cross(threshold), "hub long, x long").distinct()
+
+
 def _links(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
     """Those of pairs (hub, x) whose sets are similar. A hub with many x is copied to as many tasks as they need."""
     counted = pairs.withColumn("part", F.floor((F.row_number().over(W.partitionBy("hub", F.pmod(F.xxhash64("x"), F.lit(64))).orderBy("x")) - 1) / (HUB_MEMBERS // 64)))
@@ -219,9 +314,9 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     at a Jaccard similarity of the threshold or more. component_id is the smallest doc_id that links reach; a
     row without words or text links with nothing. Null doc_ids take part but are never the smallest unless all
     are null. Repeated rows are rows of their own with equal sets. Sets are named by 128 bits, in candidates and
-    links by 64 of them. Equal sets are one vertex throughout. In a group that shares a signature, sets are
-    compared with a hub first; only what stays in different components after that is compared pair by pair, so
-    no link that joins components is lost.
+    links by 64 of them. Equal sets are one vertex throughout. Sets that share a signature are compared with
+    one hub first; whatever is in different components after that is compared by sketches, and then in full
+    where these don't rule a link out, so no link that joins components is lost.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -247,28 +342,10 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     pairs = member.join(best, "name").groupBy(F.col("v").alias("x")).agg(F.max_by("hub", F.struct("share", "hub")).alias("hub")).filter("hub != x")
     pairs = staged(pairs, "pairs")
     links = staged(_links(pairs, texts, threshold), "links")
-    tried = staged(pairs.select("hub", "x"), "tried")
-    left = groups
-    for turn in range(HUB_ROUNDS + 1):
-        root = components(links)
-        members = left.select("name", F.explode("members").alias("v")).join(root, "v", "left").select("name", "v", F.coalesce("root", "v").alias("root"))
-        open_ = members.groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.collect_list(F.struct("v", "root")).alias("of")).filter("low != high").select("name", "of")
-        open_ = staged(open_, "open")
-        if open_.isEmpty():
-            break
-        left = open_.select("name", F.col("of.v").alias("members"))
-        if turn < HUB_ROUNDS:
-            hub = F.array_min(F.transform("of", lambda m: F.struct(F.xxhash64(m["v"], F.lit(turn)).alias("k"), m["v"].alias("v"), m["root"].alias("root"))))
-            of = open_.select(hub.alias("hub"), F.explode("of").alias("m")).filter("hub.root != m.root").select(F.col("hub.v").alias("hub"), F.col("m.v").alias("x"))
-        else:
-            of = open_.select(F.explode("of").alias("h"), "of").select("h", F.explode("of").alias("m")).filter("h.root < m.root").select(F.col("h.v").alias("hub"), F.col("m.v").alias("x"))
-        fresh = of.select(F.least("hub", "x").alias("hub"), F.greatest("hub", "x").alias("x")).distinct().join(tried.select(F.least("hub", "x").alias("hub"), F.greatest("hub", "x").alias("x")), ["hub", "x"], "left_anti")
-        fresh = staged(fresh, "fresh")
-        links = staged(links.union(_links(fresh, texts, threshold)), "links")
-        if turn < HUB_ROUNDS:
-            tried = staged(tried.union(fresh), "tried")
-        else:
-            root = components(links)
+    # Then what is left between components; pairs that a hub has tried are among them only if they failed.
+    sketches = staged(texts.mapInArrow(_sketches, "v long, n long, sketch binary"), "sketches")
+    crossing = staged(_crossing(groups, components(links), sketches, threshold), "crossing")
+    root = components(links.union(_links(crossing, texts, threshold)))
 
     reached = classes.join(root, classes.h1 == root.v, "left").select("h1", "h2", "n", "least", F.coalesce("root", "h1").alias("root"))
     smallest = reached.groupBy("root").agg(F.min("least").alias("component"))

@@ -199,9 +199,9 @@ def near_copies():
     return rows + [(100 + i, prose(n, 30 + i)) for i, n in enumerate((1, 2, 4, 5, 6, 7, 9, 12, 20, 33))] + [(200 + i, " ".join(prose(n, 30 + i).split()[:-1]) + " z") for i, n in enumerate((1, 2, 4, 5, 6, 7, 9, 12, 20, 33))]
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_jaccard_join_of_a_crowd(spark, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
+@pytest.mark.parametrize("block", [3, 4096])
+def test_jaccard_join_of_a_crowd(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "HUB_MEMBERS", 64)
     rows = near_copies()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_digest(frame(spark, [(i, t, "a") for i, t in rows])).collect()}
@@ -222,6 +222,18 @@ def test_similar_sets_share_a_signature():
                     assert np.intersect1d(jaccard.signatures(a, frequent), jaccard.signatures(b, frequent)).size
 
 
+def test_sketches_never_overstate():
+    r = np.random.default_rng(2)
+    for n in (1, 3, 20, 64, 130, 500):
+        a = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        for m in (0, 1, n // 4, n):
+            b = np.unique(np.concatenate((a[m // 2 :], r.integers(0, 2**64, m, dtype=np.uint64))))
+            if len(b):
+                words = min(len(jaccard.sketch(a)), len(jaccard.sketch(b)))
+                x, y = (jaccard.fold(jaccard.sketch(s)[None], words) for s in (a, b))
+                assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_components(spark):
     r = random.Random(2)
     pairs = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
