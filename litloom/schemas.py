@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-_from = StructType.fromDDL
+_string, _long, _double, _int = StringType(), LongType(), DoubleType(), IntegerType()
 
-EPMC_IDS = _from("PMID string, PMCID string")
-PUBLICATIONS = _from(
-    "pmid string, pmcid string, pubDate string, organisms array<string>, sentences array<struct<section: string, text: string, "
-    "matches: array<struct<label: string, type: string, startInSentence: bigint, endInSentence: bigint, sectionStart: bigint, sectionEnd: bigint>>, "
-    "`co-occurrence`: array<struct<label1: string, label2: string, type: string, start1: bigint, end1: bigint, start2: bigint, end2: bigint, sentEvidenceScore: double>>>>"
-)
-DISEASES = _from("id string, name string, synonyms struct<hasExactSynonym: array<string>, hasNarrowSynonym: array<string>, hasBroadSynonym: array<string>, hasRelatedSynonym: array<string>>")
-TARGETS = _from(
-    "id string, approvedName string, approvedSymbol string, symbolSynonyms array<struct<label: string>>, nameSynonyms array<struct<label: string>>, "
-    "obsoleteSymbols array<struct<label: string>>, obsoleteNames array<struct<label: string>>, proteinIds array<struct<id: string>>"
-)
-DRUGS = _from("id string, name string, tradeNames array<string>, synonyms array<string>")
-EVIDENCE = _from(
-    "targetFromSourceId string, diseaseFromSourceMappedId string, datasourceId string, datatypeId string, resourceScore double, similarity double, "
-    "harmonicSimilarity double, sharedPublicationCount int, meanTargetFreqPerPub double, meanDiseaseFreqPerPub double, harmonicCooccurrenceSentiment double, cooccurredPublicationCount bigint"
+
+def _fields(**of: DataType) -> StructType:
+    return StructType([StructField(name.replace("__", "-"), kind) for name, kind in of.items()])
+
+
+_strings = ArrayType(_string)
+_labels = ArrayType(_fields(label=_string))
+
+EPMC_IDS = _fields(PMID=_string, PMCID=_string)
+MATCH = _fields(label=_string, type=_string, startInSentence=_long, endInSentence=_long, sectionStart=_long, sectionEnd=_long)
+COOCCURRENCE = _fields(label1=_string, label2=_string, type=_string, start1=_long, end1=_long, start2=_long, end2=_long, sentEvidenceScore=_double)
+SENTENCE = _fields(section=_string, text=_string, matches=ArrayType(MATCH), co__occurrence=ArrayType(COOCCURRENCE))
+PUBLICATIONS = _fields(pmid=_string, pmcid=_string, pubDate=_string, organisms=_strings, sentences=ArrayType(SENTENCE))
+DISEASES = _fields(id=_string, name=_string, synonyms=_fields(hasExactSynonym=_strings, hasNarrowSynonym=_strings, hasBroadSynonym=_strings, hasRelatedSynonym=_strings))
+TARGETS = _fields(
+    id=_string, approvedName=_string, approvedSymbol=_string, symbolSynonyms=_labels, nameSynonyms=_labels, obsoleteSymbols=_labels, obsoleteNames=_labels, proteinIds=ArrayType(_fields(id=_string))
 )
+DRUGS = _fields(id=_string, name=_string, tradeNames=_strings, synonyms=_strings)
+EVIDENCE = _fields(
+    targetFromSourceId=_string, diseaseFromSourceMappedId=_string, datasourceId=_string, datatypeId=_string, resourceScore=_double, similarity=_double, harmonicSimilarity=_double,
+    sharedPublicationCount=_int, meanTargetFreqPerPub=_double, meanDiseaseFreqPerPub=_double, harmonicCooccurrenceSentiment=_double, cooccurredPublicationCount=_long,
+)
