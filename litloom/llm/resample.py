@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import as_scan, keep_rows, ship, staged, with_row_key
+from litloom.llm.runtime import as_scan, keep_rows, ship, smallest, staged, with_row_key
 from litloom.llm.windows import Spans, _batches, _mix, word_units
 
 #: Buckets of the hashed n-grams; the models are two arrays of this length.
@@ -151,7 +151,8 @@ def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit:
     texts = docs.select(F.col("doc_id").alias("did"), F.coalesce("text", F.lit("")).alias("text"))
     kind = F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).when((F.col("quality") == 0) | (F.col("toxic") == 1), 0)
     marked = labels.select(F.col("doc_id").alias("did"), kind.alias("good")).filter("good is not null and did is not null").groupBy("did").agg(F.min("good").alias("good"))
-    picked = marked.filter("good = 1").orderBy(F.xxhash64("did"), "did").limit(fit).union(marked.filter("good = 0").orderBy(F.xxhash64("did"), "did").limit(fit))
+    hashed = marked.select(F.xxhash64("did").alias("k"), "did", "good")
+    picked = smallest(hashed.filter("good = 1"), "k", fit).union(smallest(hashed.filter("good = 0"), "k", fit)).drop("k")
     sample = staged(texts.join(picked, "did").select("good", "text"), "labelled")
     counts = _counts(texts.select("text"), "raw", buckets)
     for name, good in (("target", 1), ("other", 0)):

@@ -69,3 +69,18 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of docs whose key is among keys (rid, did), with all of their columns."""
     rows, names = all_columns(docs)
     return rows.join(keys.select("rid", "did"), ["rid", "did"], "left_semi").select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
+def smallest(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of smallest key, a 64-bit hash; equal keys in the order of the other columns.
+
+    A cut that about 2 n rows pass is taken first, from their number, so that not every partition sends n rows
+    to one place; should too few pass, it is left out.
+    """
+    order = [key, *(c for c in df.columns if c != key)]
+    total = df.count()
+    if total > 4 * n:
+        passed = df.filter(F.col(key) < -(2**63) + (2**64 * 2 * n) // total)
+        if passed.count() >= n:
+            df = passed
+    return df.orderBy(*order).limit(n)

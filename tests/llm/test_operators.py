@@ -310,6 +310,19 @@ def test_lm_gradients():
         assert (up - down) / 2e-5 == pytest.approx(g[at], rel=1e-3), name
 
 
+def test_lm_scores_what_the_model_says():
+    net, r = lm.Attention(classes=7), np.random.default_rng(1)
+    before, after, scored = r.integers(0, 8, (5, lm.WINDOW)), r.integers(0, 7, (5, lm.WINDOW)), r.random((5, lm.WINDOW)) < 0.5
+    got, at = net.log_probability(before, after, scored)
+    assert np.allclose(got, np.take_along_axis(net.forward(before)[0], after[..., None], -1)[..., 0][scored], atol=1e-4) and (at == np.flatnonzero(scored)).all()
+
+
+def test_smallest_is_exact(spark):
+    df = spark.range(5000).selectExpr("xxhash64(id) AS k", "id")
+    for n in (1, 10, 1000, 6000):
+        assert sorted(tuple(x) for x in runtime.smallest(df, "k", n).collect()) == sorted(tuple(x) for x in df.collect())[:n]
+
+
 def test_lm_is_causal_and_learns():
     net = lm.Attention(classes=8)
     r = np.random.default_rng(0)
