@@ -336,6 +336,25 @@ def test_lm_is_causal_and_learns():
     assert np.allclose(net.forward(before[:1])[0][0, :40], net.forward(changed)[0][0, :40], atol=1e-5)
 
 
+def test_lm_learns_from_every_window(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TRAIN_WINDOWS", 1)
+    r = np.random.default_rng(0)
+    texts = [(np.arange(n) * 7 + int(r.integers(0, 40))) % 40 for n in (1, 63, 64, 65, 400_000, *[500] * 60)]
+    rows = [(i, i, i, False, bytearray(x.astype("<u2").tobytes())) for i, x in enumerate(texts)]
+    ids = runtime.staged(spark.createDataFrame(rows, "rid long, did long, doc_id long, held_out boolean, ids binary"), "ids")
+    net, of, _ = lm.train_model(ids, steps=1)
+    before, after, weight = lm.training_windows([(np.arange(640) * 7 + 3) % 40], of, net.classes, 0, 1)
+    assert -np.take_along_axis(net.forward(before)[0], after[..., None], -1).mean() < 2
+    assert lm.learn_all(net, of, ids) == sum(-(-len(x) // lm.WINDOW) for x in texts)
+
+
+def test_lm_training_windows_hold_each_id_once():
+    texts = [np.arange(n) % 50 for n in (1, 63, 64, 65, 500)]
+    got = [lm.training_windows(texts, np.arange(50), 64, turn, 3) for turn in range(3)]
+    seen = np.concatenate([after[weight > 0] for _, after, weight in got])
+    assert sorted(seen.tolist()) == sorted(np.concatenate(texts).tolist())
+
+
 def test_mixing(docs):
     rows = mix.mix_digest(docs).collect()
     sizes = {i: len((t or "").encode().split()) for i, t in ROWS}
