@@ -19,9 +19,10 @@ SHARD = 32_768
 LINKS, MOST = 16, 48
 #: Width of the beam when a node comes in, and of the first one that queries use.
 BUILD_BEAM, BEAM = 64, 32
-#: Queries of a shard that are held against all its vectors, and the share of their links that must be found;
-#: beams double until it is, and end at the size of the shard, which finds all.
-AUDIT, RECALL = 128, 0.99
+#: Queries with links, of few and of many, that an audit wants of a shard, and the share of its links that such a
+#: query must find on the mean of either kind. Beams double to WIDEST; where that doesn't do, or where there are
+#: fewer such queries, all vectors are compared, BLOCK at a time.
+AUDIT, RECALL, FEW, WIDEST, BLOCK = 128, 0.99, 16, 512, 128
 
 
 class Graph:
@@ -118,17 +119,42 @@ class Graph:
         return found
 
 
-def audited_beam(graph: Graph, least: float) -> int:
-    """The first width, doubling, whose answers to the audit's queries have RECALL of the links found by comparing all."""
-    n = len(graph.x)
-    sample = np.unique(np.linspace(0, n - 1, min(n, AUDIT)).astype(int))
-    truth = [(graph.x @ graph.x[i] >= least).sum() for i in sample]
-    width = BEAM
-    while width < n:
-        if sum(len(graph.within(graph.x[i], least, width)) for i in sample) >= RECALL * sum(truth):
+def all_within(x: np.ndarray, queries: np.ndarray, least: float) -> Iterator[np.ndarray]:
+    """The nodes whose cosine with a query is `least` or more, for each query, by comparing all."""
+    for at in range(0, len(queries), BLOCK):
+        near = queries[at : at + BLOCK] @ x.T >= least
+        yield from (np.flatnonzero(r) for r in near)
+
+
+def audited_beam(graph: Graph, least: float, seed: int = 9) -> int | None:
+    """The first width, doubling, whose answers to the audit's queries have RECALL of the links found by comparing all;
+    None if there is none, or if all vectors were compared before there were enough queries with links.
+
+    A query's match with itself is no link. Queries with up to FEW links and those with more are held apart, and
+    each query counts as one, so neither a crowd nor vectors without links make up for what pairs miss.
+    """
+    order = np.random.Generator(np.random.PCG64(seed)).permutation(len(graph.x))
+    few: list[tuple[int, int]] = []
+    many: list[tuple[int, int]] = []
+    crowded = 0  # vectors compared so far that have many links
+    for i, found in zip(order.tolist(), all_within(graph.x, graph.x[order], least), strict=True):
+        links = int((found != i).sum())
+        if 0 < links <= FEW:
+            few.append((i, links))
+        elif links:
+            crowded += 1
+            if len(many) < AUDIT:
+                many.append((i, links))
+        if len(few) >= AUDIT and (crowded >= AUDIT or not crowded):
             break
+    else:
+        return None
+    width = BEAM
+    while width <= WIDEST:
+        if all(np.mean([(graph.within(graph.x[i], least, width) != i).sum() / n for i, n in kind]) >= RECALL for kind in (few, many) if kind):
+            return width
         width *= 2
-    return min(width, max(n, 1))
+    return None
 
 
 class _Shard:
@@ -142,6 +168,11 @@ class _Shard:
         self.width = audited_beam(self.graph, least - 1e-9)
         self.root = np.arange(len(ids))
 
+    def _within(self, unit: np.ndarray) -> Iterator[np.ndarray]:
+        if self.width is None:
+            return all_within(self.graph.x, unit, self.least - 1e-9)
+        return (self.graph.within(q, self.least - 1e-9, self.width) for q in unit)
+
     def _find(self, i: int) -> int:
         while self.root[i] != i:
             self.root[i] = self.root[self.root[i]]
@@ -151,9 +182,8 @@ class _Shard:
     def query(self, ids: np.ndarray, vectors: np.ndarray, own: bool) -> pa.RecordBatch:
         """(id, weight, null) for each query with links, and (id, 0, other) for links that join what wasn't joined."""
         out: list[tuple[int, int, int | None]] = []
-        for k, (name, v) in enumerate(zip(ids.tolist(), vectors, strict=True)):
-            norm = np.sqrt((v * v).sum())
-            found = self.graph.within(v / norm, self.least - 1e-9, self.width)
+        norms = np.sqrt((vectors * vectors).sum(1))
+        for k, (name, v, norm, found) in enumerate(zip(ids.tolist(), vectors, norms, self._within(vectors / norms[:, None]), strict=True)):
             cos = (self.raw[found] * v).sum(1) / (self.norms[found] * norm)
             found = found[cos >= self.least]
             if own:

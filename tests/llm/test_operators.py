@@ -269,6 +269,33 @@ def test_embedding_dedup(spark, size):
     assert 0.99 * there <= found <= there
 
 
+@pytest.mark.parametrize("group", [0, 900])
+def test_embedding_audit_minds_pairs(group):
+    r = np.random.default_rng(4)
+    x = r.standard_normal((2000, 24))
+    x[20:40] = x[:20] + 0.01 * r.standard_normal((20, 24))  # rare pairs
+    if group:  # beside a crowd
+        x[-group:] = x[-1] + 0.01 * r.standard_normal((group, 24))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    graph = hnsw.Graph(x)
+    graph.near[0][:40] = -1  # nodes of pairs that no beam reaches, nor leaves
+    for near in graph.near:
+        near[np.isin(near, np.arange(40))] = -1
+    assert hnsw.audited_beam(graph, 0.98) is None
+    shard = hnsw._Shard(np.arange(2000), x, np.ones(2000, int), 0.98)
+    got = shard.query(shard.ids, x, True).to_pylist()
+    links = {o["cid"]: o["weight"] for o in got if o["other"] is None}
+    truth = (x @ x.T >= 0.98).sum(1) - 1
+    assert all(links.get(i, 0) == truth[i] for i in range(2000))
+
+
+def test_embedding_audit_accepts_a_graph_that_finds_pairs():
+    r = np.random.default_rng(5)
+    x = np.repeat(r.standard_normal((800, 16)), 2, 0) + 0.01 * r.standard_normal((1600, 16))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    assert hnsw.audited_beam(hnsw.Graph(x), 0.98) is not None
+
+
 def test_embedding_dedup_of_nothing(spark):
     assert hnsw.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
