@@ -308,12 +308,13 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame
 
 
 def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """rid, did, doc_id, n_shingles, component_id of every row.
+    """rid, did, doc_id, n_shingles, component_id, root of every row.
 
     A row's set: its distinct shingles of five words, A-Z lower-cased; all its words, if they are fewer. Rows link
     at a Jaccard similarity of the threshold or more. component_id is the smallest doc_id that links reach; a
     row without words or text links with nothing. Null doc_ids take part but are never the smallest unless all
-    are null. Repeated rows are rows of their own with equal sets. Sets are named by 128 bits, in candidates and
+    are null; as doc_ids may be null or repeated, root tells components apart, and is null for a row that links
+    with nothing for want of words. Repeated rows are rows of their own with equal sets. Sets are named by 128 bits, in candidates and
     links by 64 of them. Equal sets are one vertex throughout. Sets that share a signature are compared with
     one hub first; whatever is in different components after that is compared by sketches, and then in full
     where these don't rule a link out, so no link that joins components is lost.
@@ -349,8 +350,8 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
 
     reached = classes.join(root, classes.h1 == root.v, "left").select("h1", "h2", "n", "least", F.coalesce("root", "h1").alias("root"))
     smallest = reached.groupBy("root").agg(F.min("least").alias("component"))
-    named_classes = reached.join(smallest, "root").select("h1", "h2", "n", "component")
-    return sets.join(named_classes, ["h1", "h2", "n"], "left").select("rid", "did", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    named_classes = reached.join(smallest, "root").select("h1", "h2", "n", "component", "root")
+    return sets.join(named_classes, ["h1", "h2", "n"], "left").select("rid", "did", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "root")
 
 
 def one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
@@ -358,7 +359,8 @@ def one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     docs = as_scan(docs)
     found = similar_documents(docs, threshold)
     single = found.filter("n_shingles = 0").select("rid", "did")
-    kept = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id", "did").agg(F.min("rid").alias("rid")).select("rid", "did").union(single)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "did")).alias("first")
+    kept = found.filter("n_shingles > 0").groupBy("root").agg(first).select("first.rid", "first.did").union(single)
     return keep_rows(docs, kept)
 
 

@@ -208,6 +208,15 @@ def test_jaccard_join_of_a_crowd(spark, monkeypatch, block):
     assert got == jaccard.brute_force(rows)
 
 
+def test_one_of_each_keeps_unlike_texts_whose_ids_are_null_or_repeated(spark):
+    like = [" ".join(f"w{k}" for k in range(100)), " ".join(["x", *(f"w{k}" for k in range(1, 100))])]
+    rows = [(None, "a b c d e f g", "a"), (None, "h i j k l m n", "a"), (None, "h i j k l m n", "a"), (0, "o p q r s t u", "a"), (5, "one two three four five six", "a"), (5, like[0], "a")]
+    rows += [(7, like[1], "a"), (None, like[0], "a"), (None, None, "a"), (None, " ", "a")]
+    got = jaccard.one_of_each(frame(spark, rows)).collect()
+    wanted = [(None, rows[0][1]), (None, rows[1][1]), (0, rows[3][1]), (5, rows[4][1]), (5, like[0]), (None, None), (None, " ")]
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(i), str(x)) for i, x in wanted)
+
+
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(1)
     none = np.zeros(0, np.uint64)
