@@ -15,13 +15,14 @@ from litloom.llm.windows import Spans, _batches, _mix, word_units
 
 #: Buckets of the hashed n-grams; the models are two arrays of this length.
 BUCKETS = 1 << 21
+#: Buckets whose ratios the driver gets at once.
+PAGE = 1 << 16
 #: Labelled documents of each kind that the target model and the cut are fitted on, at most: those whose hashed
 #: doc_id is smallest. Raw counts, weights and the top-k cover all documents.
 FIT = 20_000
-#: A bucket counts only if raw text has it more often than target by this factor, and labelled text that isn't
-#: target has it more often by as much: twice the logarithm of the likelihood ratio of its count, against
-#: what target leads to expect, is at least EVIDENCE. So what many copies share doesn't count against them.
-FACTOR, EVIDENCE = 12.0, 30.0
+#: A bucket's log ratio is shrunk by z / (z + SHRINK), where z is twice the log likelihood ratio of its count in target
+#: against what raw text leads to expect; so what is rare in both says little, and every bucket has its say.
+SHRINK = 20.0
 #: Spread of the Gumbel noise; 1 is resampling by the weights themselves, less keeps closer to the heaviest.
 TEMPERATURE = 0.25
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -88,16 +89,18 @@ def _count(buckets: int):
     return run
 
 
-def _weigh(ratio, buckets: int):
+def _weigh(model, buckets: int):
+    """Each text's features and their summed log ratios, as for a text of the target's length if it is much longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.append(ratio.value, np.float32(0))
+        ratio, length = model.value
+        table = np.append(ratio, np.float32(0))
         for rows, data, offsets in _batches(batches):
             at, firsts = hashed_ngrams(data, offsets, buckets)
             n = np.diff(firsts)
             # reduceat gives an entry for an empty text too; it is set to 0 afterwards
             sums = np.add.reduceat(np.append(table[at], np.float32(0)).astype(float), firsts[:-1]) if len(n) else np.zeros(0)
             keep = [rows.column(c) for c in rows.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums, 0.0))], [c for c in rows.schema.names if c != "text"] + ["n_ngrams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums * (length / (n + length)), 0.0))], [c for c in rows.schema.names if c != "text"] + ["n_ngrams", "log_weight"])
 
     return run
 
@@ -107,29 +110,34 @@ def _counts(texts: DataFrame, name: str, buckets: int) -> DataFrame:
     return texts.mapInArrow(_count(buckets), "bucket long, n long").groupBy("bucket").agg(F.sum("n").cast("double").alias(name))
 
 
-def log_ratio(target: np.ndarray, n_target: float, raw: np.ndarray, n_raw: float, other: np.ndarray, n_other: float) -> np.ndarray:
-    """log(target / raw) of each bucket, less what most target text has, as raw text holds it too; 0 where the
-    two models don't differ enough to tell."""
-    p, q = (target + 0.5) / (n_target + 1), (raw + 0.5) / (n_raw + 1)
-    ratio = np.log(p / q)
-    if not len(ratio):
-        return ratio
-    common = (raw >= 0.01 * n_raw) & (target > 0)
-    if common.any():
-        order = np.argsort(ratio[common])
-        weight = np.cumsum(target[common][order])
-        ratio -= ratio[common][order][np.searchsorted(weight, weight[-1] / 2)]
-    expected = np.maximum(n_other * p, 1e-9)
-    evidence = 2 * (other * np.log(np.maximum(other, 1) / expected) - other + expected)
-    telling = (other >= FACTOR * expected) & (evidence >= EVIDENCE)
-    return np.where((ratio <= -np.log(FACTOR)) & telling, ratio, 0).astype(np.float32)
+def log_ratio(target: np.ndarray, n_target: float, raw: np.ndarray, n_raw: float) -> np.ndarray:
+    """log(target / raw) of each bucket, of either sign, shrunk by the evidence that the two models differ there."""
+    expected = n_target * (raw + 0.5) / (n_raw + 1)
+    evidence = 2 * (target * np.log(np.maximum(target, 1) / np.maximum(expected, 1e-9)) - target + expected)
+    evidence = np.maximum(evidence, 0)
+    return (np.log((target + 0.5) / (expected + 0.5)) * evidence / (evidence + SHRINK)).astype(np.float32)
+
+
+def _ratios(n_target: float, n_raw: float):
+    """The log ratios of each page of PAGE buckets; a page's counts come to one partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}
+        for b in batches:
+            got = log_ratio(b.column("target").to_numpy(), n_target, b.column("raw").to_numpy(), n_raw)
+            page, place = np.divmod(b.column("bucket").to_numpy(), PAGE)
+            for p in np.unique(page).tolist():
+                pages.setdefault(p, np.zeros(PAGE, "<f4"))[place[page == p]] = got[page == p]
+        yield pa.RecordBatch.from_arrays([pa.array(list(pages), pa.int64()), pa.array([x.tobytes() for x in pages.values()], pa.binary())], ["page", "ratios"])
+
+    return run
 
 
 @dataclass(frozen=True)
 class Models:
-    """log(target / raw) of each bucket, and the weight below which text is unlike the target."""
+    """log(target / raw) of each bucket, target's features a text, and the weight below which text is unlike it."""
 
     ratio: np.ndarray
+    length: float
     cut: float
 
 
@@ -155,22 +163,22 @@ def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit:
     picked = smallest(hashed.filter("good = 1"), "k", fit).union(smallest(hashed.filter("good = 0"), "k", fit)).drop("k")
     sample = staged(texts.join(picked, "did").select("good", "text"), "labelled")
     counts = _counts(texts.select("text"), "raw", buckets)
-    for name, good in (("target", 1), ("other", 0)):
-        counts = counts.join(_counts(sample.filter(F.col("good") == good).select("text"), name, buckets), "bucket", "left")
-    counts = staged(counts.fillna(0), "counts")
+    target = _counts(sample.filter("good = 1").select("text"), "target", buckets)
+    counts = staged(counts.join(target, "bucket", "left").fillna(0), "counts")
     n = counts.filter("bucket = -1").first()
     if n is None:  # no documents
-        return Models(np.zeros(buckets, np.float32), float("-inf"))
-    expected = F.greatest(n.other * (F.col("target") + 0.5) / (n.target + 1), F.lit(1e-9))
-    evidence = 2 * (F.col("other") * F.log(F.greatest(F.col("other"), F.lit(1.0)) / expected) - F.col("other") + expected)
-    # What log_ratio can use: buckets that tell, and those that many texts have. The driver gets no others.
-    use = counts.filter((F.col("bucket") >= 0) & ((F.col("other") >= FACTOR * expected) & (evidence >= EVIDENCE) | (F.col("raw") >= 0.01 * n.raw))).toPandas()
-    ratio = np.zeros(buckets, np.float32)
-    ratio[use["bucket"].to_numpy()] = log_ratio(use["target"].to_numpy(), n.target, use["raw"].to_numpy(), n.raw, use["other"].to_numpy(), n.other)
-    scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast(ratio), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
+        return Models(np.zeros(buckets, np.float32), 1.0, float("-inf"))
+    some = counts.filter("bucket >= 0")
+    length = max(1.0, (some.agg(F.sum("target")).first()[0] or 0.0) / max(1.0, n.target))
+    paged = some.repartition(F.floor(F.col("bucket") / PAGE)).select("bucket", "target", "raw").mapInArrow(_ratios(n.target, n.raw), "page long, ratios binary")
+    ratio = np.zeros(-(-buckets // PAGE) * PAGE, np.float32)
+    for page in paged.collect():  # 4 bytes for each bucket
+        ratio[page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
+    ratio = ratio[:buckets]
+    scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast((ratio, length)), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
     good = scored["good"].to_numpy() == 1
     weight = scored["log_weight"].to_numpy()
-    return Models(ratio, best_cut(weight[good], weight[~good]))
+    return Models(ratio, length, best_cut(weight[good], weight[~good]))
 
 
 def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:
@@ -210,8 +218,9 @@ def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """rid, did, doc_id, n_ngrams, log_weight, key, kept of every row.
 
-    log_weight is the sum over a text's features of log(target / raw), so target text lies about 0 at any length
-    and other text far below. The sample has as many
+    log_weight is the sum over a text's n_ngrams features of log(target / raw), shrunk by evidence, times
+    length / (n_ngrams + length), where length is target's features a text; so a long text weighs as one of about
+    that length, and a short one no more than it says. The sample has as many
     documents as weigh at least the cut that parts the labelled ones best, and is drawn without replacement by
     the largest log_weight + Gumbel noise, which comes from a hash of doc_id, so reruns agree. Texts that
     are null, empty or blank are never drawn. Without labels of both kinds every other text is. Repeated rows
@@ -220,7 +229,7 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     models = fit_models(docs, labels)
-    table = spark.sparkContext.broadcast(models.ratio)
+    table = spark.sparkContext.broadcast((models.ratio, models.length))
     rows = with_row_key(docs, "doc_id", "text").select("rid", "did", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scored = rows.mapInArrow(_weigh(table, len(models.ratio)), "rid long, did long, doc_id long, n_ngrams long, log_weight double")
     uniform = (F.pmod(F.xxhash64("did", "n_ngrams", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)

@@ -459,6 +459,21 @@ def test_resampling_keeps_target_text(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.02
 
 
+def test_resampling_weighs_junk_of_an_unlabelled_kind(spark):
+    rows, labels = corpus(1500)
+    labels = [x for x in labels if not x[2]]  # the toxic kind has no label; the shouting kind has
+    got = {r.doc_id: r for r in resample.resample_digest(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    good = [got[i].log_weight for i, _, _ in rows if i % 10 > 1]
+    toxic = [got[i].log_weight for i, _, _ in rows if i % 10 == 1]
+    assert max(good) > 0 and max(toxic) < np.quantile(good, 0.01)
+
+
+def test_log_ratio_has_both_signs_and_is_shrunk():
+    n = 1000.0
+    got = resample.log_ratio(np.array([200.0, 0.0, 0.0, 1.0, 100.0]), n, np.array([1000.0, 1000.0, 1.0, 5.0, 1000.0]), 10_000.0)
+    assert got[0] > 0.4 and got[1] < -4 and abs(got[2]) < 0.01 and abs(got[3]) < 0.05 and abs(got[4]) < 0.01
+
+
 def test_top_k_is_exact(spark):
     r = np.random.default_rng(1)
     keys = np.concatenate((r.standard_normal(3000), np.full(50, 0.5), np.full(3000, -7.0)))
