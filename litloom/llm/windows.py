@@ -3,14 +3,16 @@
 Every window is filed under the smallest hash among its m-unit grams; a run of windows with the same smallest
 gram, at the same place, is a segment. Equal windows have equal smallest grams, so:
 
-1. grams are counted, after each batch has counted its own, and segments with a gram that is seen once go;
-2. segments with the same gram and the same content are one class, with a count and its earliest member;
-3. classes that share their gram with another one send one copy of their text, packed, to the gram's bucket,
+1. of equal texts one is judged; every window of the others is a repeat;
+2. grams are counted, after each batch has counted its own, and segments with a gram that is seen once go;
+3. segments with the same gram and the same content are one class, with a count and its earliest member;
+4. classes that share their gram with another one send one copy of their text, packed, to the gram's bucket,
    where a verdict says which of the class's windows occur elsewhere (or earlier);
-4. verdicts go back to the members, and from there to the documents.
+5. verdicts go back to the members, and from there to the documents.
 
-Grams and contents are compared by 64 bits each, that is, segments by 128; windows in buckets by their text.
-A gram with more than HOT classes is split: its windows are dealt out one by one, by their own 128 bits.
+Grams and contents are compared by 64 bits each, that is, segments by 128, and so are texts; windows in buckets are
+compared by their text. A bucket takes HOT classes of a gram. The windows of a gram with more are filed anew, under
+the longest gram that they have, which is the window itself, by 128 bits; so they are counted by sorting too.
 """
 
 from __future__ import annotations
@@ -23,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import ship, staged, with_row_key
+from litloom.llm.runtime import forget, ship, staged, with_row_key
 
 #: Units that are hashed at a time, and bytes of text that a batch of rows has at most unless one row has more.
 CHUNK, BATCH_BYTES = 1 << 19, 1 << 21
 #: Classes of one gram that a bucket takes in together; bytes of text that it sorts at a time.
 HOT, BUCKET_BYTES = 20_000, 1 << 21
-#: A class with more than one in so many of all members is a crowd.
-CROWDS = 512
+#: A class with more than one in so many of all members is a crowd; so there are fewer crowds than that.
+SHARES = 512
+#: Windows of a span that has all of its text's.
+WHOLE = -1
 _PLACE = 24  # bits for a place in a chunk
 
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -110,6 +114,11 @@ class Kind:
     window: int
     gram: int
 
+    @property
+    def least_bytes(self) -> int:
+        """A text of fewer bytes has no window."""
+        return 2 * self.window - 1 if self.words else self.window
+
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return word_units(data, offsets) if self.words else (_BYTES[data], offsets)
 
@@ -287,27 +296,42 @@ def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("content"), pa.array(masks, pa.binary())], ["gram", "content", "mask"])
 
 
+def _copies(rows: DataFrame, kind: Kind, spare_first: bool) -> tuple[DataFrame, DataFrame]:
+    """(copies, whole): keys of the rows whose text an earlier row has, by (doc_id, row key); and of those of which
+    every window is a repeat: the copies, and the first ones too unless they are spared."""
+    key = rows.filter(F.octet_length("text") >= kind.least_bytes).select("rid", "did", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    keys = staged(key, "text-keys")
+    groups = staged(keys.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("did", "rid")).alias("first")).filter("n > 1").drop("n"), "text-groups")
+    among = staged(keys.join(groups, ["h1", "h2"]).select("rid", "did", (F.struct("did", "rid") == F.col("first")).alias("is_first")), "text-copies")
+    forget(keys, groups)
+    copies = among.filter("not is_first").select("rid", "did")
+    return copies, copies if spare_first else among.select("rid", "did")
+
+
 def repeated_spans(docs: DataFrame, kind: Kind, verdict, spare_first: bool, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): the documents by row key, and for each row with repeats its segments that have any.
 
     spare_first: the first of equal windows, by (doc_id with null as 0, row key, start), is no repeat; else
-    all of them are. A span is (start, windows, mask of repeated windows; null: all).
+    all of them are. A span is (start, windows, mask of repeated windows; null: all); one of WHOLE windows has all
+    that the text has.
     """
     ship(docs.sparkSession)
     rows = with_row_key(docs, "doc_id", "text").select("rid", "did", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("void"))
     plain = rows.select("did", "rid", "text")
-    grams = plain.select("text").mapInArrow(_count_grams(kind), "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
-    # Staged, so that the join has plain exchanges on both sides, whose large partitions Spark can split.
-    grams = staged(grams, "grams")
+    copies, whole = _copies(rows, kind, spare_first)
+    counted = plain.select("text").mapInArrow(_count_grams(kind), "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n"))
+    # Staged, as is what else has a row for each key, so that the join has plain exchanges on both sides, whose large
+    # partitions Spark can split.
+    grams = staged(counted.filter("n > 1").select("gram"), "grams")
     found = plain.mapInArrow(_find_segments(kind), "gram long, content long, did long, rid long, start int, windows int")
-    members = staged(found.join(grams, "gram", "left_semi"), "segments")
+    members = staged(found.join(grams, "gram", "left_semi").join(copies, ["rid", "did"], "left_anti"), "segments")
+    forget(grams)
     classes = staged(members.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(F.struct("did", "rid", "start")).alias("first"), F.max("windows").alias("windows")), "classes")
-    shared = classes.groupBy("gram").agg(F.count("*").alias("classes")).filter("classes > 1")
+    shared = staged(classes.groupBy("gram").agg(F.count("*").alias("classes")).filter("classes > 1"), "shared")
     asked = classes.join(shared, "gram").select("gram", "content", "n", "windows", "classes", "first.*")
     cuts = asked.groupBy("rid", "did").agg(F.collect_list(F.struct("gram", "content", "n", "start", "windows")).alias("cuts"))
     # The same columns as the last join takes, so that texts are dealt out once for both.
     packed = rows.join(cuts, ["rid", "did"]).select("rid", "did", "doc_id", "text", "void", "cuts").mapInArrow(_cut_segments(kind), "gram long, content long, n long, did long, rid long, start int, windows int, packed binary")
-    # A crowded gram's classes would meet in one task; their windows are dealt out by themselves instead.
     crowded = shared.filter(F.col("classes") > hot).select("gram")
     if crowded.isEmpty():
         calm, deal = packed, None
@@ -317,26 +341,27 @@ def repeated_spans(docs: DataFrame, kind: Kind, verdict, spare_first: bool, hot:
     masks = calm.repartition("gram").sortWithinPartitions("gram", "did", "rid", "start").mapInArrow(_judge(verdict), "gram long, content long, mask binary")
     if deal is not None:
         single = staged(deal.mapInArrow(_deal_windows(kind), "w1 long, w2 long, gram long, content long, n long, did long, rid long, start int, i int"), "windows")
-        whole = single.groupBy("w1", "w2").agg(F.sum("n").alias("total"), F.min(F.struct("did", "rid", "start")).alias("earliest"))
-        back = single.join(whole, ["w1", "w2"]).filter(F.struct("did", "rid", "start") != F.col("earliest") if spare_first else F.col("total") > 1)
+        earliest = single.groupBy("w1", "w2").agg(F.sum("n").alias("total"), F.min(F.struct("did", "rid", "start")).alias("earliest"))
+        back = single.join(earliest, ["w1", "w2"]).filter(F.struct("did", "rid", "start") != F.col("earliest") if spare_first else F.col("total") > 1)
         sized = back.groupBy("gram", "content").agg(F.collect_list("i").alias("at")).join(classes.select("gram", "content", "windows"), ["gram", "content"])
         masks = masks.unionByName(sized.mapInArrow(_mask, "gram long, content long, mask binary"))
-    settled = classes.join(masks, ["gram", "content"], "left").filter("n > 1 or mask is not null").select("gram", "content", "n", "first", "mask")
+    settled = staged(classes.join(masks, ["gram", "content"], "left").filter("n > 1 or mask is not null").select("gram", "content", "n", "first", "mask"), "settled")
     # Members of a crowded class are all repeats but its first one, which alone goes on to the verdicts. There are
-    # fewer than CROWDS such classes, so they are broadcast, and no task gets a crowd.
-    least = max(1, (classes.agg(F.sum("n")).first()[0] or 0) // CROWDS)
-    crowds = F.broadcast(classes.filter(F.col("n") > least).select("gram", "content", F.col("first").alias("chief")))
-    marked = members.join(crowds, ["gram", "content"], "left")
-    place = F.struct("did", "rid", "start")
-    crowd = marked.filter(F.col("chief").isNotNull() & (place != F.col("chief"))).withColumn("mask", F.lit(None).cast("binary"))
-    hit = marked.filter(F.col("chief").isNull() | (place == F.col("chief"))).join(settled, ["gram", "content"])
+    # fewer than SHARES such classes, so they are known in every task, and none gets a crowd.
+    least = max(1, (classes.agg(F.sum("n")).first()[0] or 0) // SHARES)
+    name, place = F.xxhash64("gram", "content"), F.xxhash64("did", "rid", "start")
+    crowds = classes.filter(F.col("n") > least).select("gram", name.alias("name"), F.xxhash64("first.did", "first.rid", "first.start").alias("place")).collect()
+    is_crowd = F.col("gram").isin([c.gram for c in crowds]) & name.isin([c.name for c in crowds]) & ~place.isin([c.place for c in crowds])
+    crowd = members.filter(is_crowd).withColumn("mask", F.lit(None).cast("binary"))
+    hit = members.filter(~is_crowd).join(settled, ["gram", "content"])
     if spare_first:
-        hit = hit.withColumn("mask", F.when(place == F.col("first"), F.coalesce("mask", F.lit(b"")))).filter(F.col("mask").isNull() | (F.octet_length("mask") > 0))
+        first = F.struct("did", "rid", "start") == F.col("first")
+        hit = hit.withColumn("mask", F.when(first, F.coalesce("mask", F.lit(b"")))).filter(F.col("mask").isNull() | (F.octet_length("mask") > 0))
     else:
         hit = hit.withColumn("mask", F.when(F.col("n") == 1, F.col("mask")))
     part = ["rid", "did", "start", "windows", "mask"]
-    hit = hit.select(*part).unionByName(crowd.select(*part))
-    spans = hit.groupBy("rid", "did").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("spans"))
+    every = whole.select("rid", "did", F.lit(0).alias("start"), F.lit(WHOLE).alias("windows"), F.lit(None).cast("binary").alias("mask"))
+    spans = hit.select(*part).unionByName(crowd.select(*part)).unionByName(every).groupBy("rid", "did").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("spans"))
     return rows, spans
 
 
@@ -344,7 +369,8 @@ def covered(n: int, spans: list[dict] | None, window: int) -> np.ndarray:
     """Which of n units lie in a repeated window."""
     steps = np.zeros(n + 1, np.int64)
     for s in spans or ():
-        at = np.arange(s["windows"]) if s["mask"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(s["mask"], np.uint8), count=s["windows"]))
+        count = n - window + 1 if s["windows"] == WHOLE else s["windows"]
+        at = np.arange(count) if s["mask"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(s["mask"], np.uint8), count=s["windows"]))
         np.add.at(steps, s["start"] + at, 1)
         np.add.at(steps, s["start"] + at + window, -1)
     return np.cumsum(steps[:-1]) > 0

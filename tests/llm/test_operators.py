@@ -94,11 +94,35 @@ def test_suffix_dedup_deals_out_crowded_minimisers(docs):
     assert got == {i: n for i, (_, n, _, _) in suffix.brute_force(ROWS).items() if n}
 
 
+LINE = " ".join(f"c{i}" for i in range(12))
+
+
+def crowded():
+    """Copies of texts, a line and a passage that most texts share, and short texts with copies."""
+    rows = [(i, f"{prose(50, 100 + i)} {LINE} {prose(40, 300 + i)}" + (f" {PASSAGE}" if i % 3 else "")) for i in range(120)]
+    rows += [(200 + i, rows[4][1]) for i in range(60)] + [(300 + i, f"{PASSAGE} x{i}") for i in range(60)]
+    return rows + [(400 + i, "short text") for i in range(9)] + [(500, prose(35, 60)), (501, prose(35, 60)), (502, "é" * 50), (503, "é" * 50), (504, None)]
+
+
+@pytest.mark.parametrize("hot", [1, windows.HOT])
+def test_crowds_of_texts_lines_and_passages(spark, hot):
+    rows = crowded()
+    docs = frame(spark, [(i, t, "a") for i, t in rows])
+    for kind, verdict, spare in ((windows.Kind(True, 35, 8), substring.counter(35), False), (windows.Kind(False, 100, 32), suffix.factor_reaches(100), True)):
+        _, spans = windows.repeated_spans(docs, kind, verdict, spare, hot=hot)
+        length = (lambda t: len(t.split())) if kind.words else (lambda t: len(t.encode()))
+        texts = dict(rows)
+        got = {r.did: int(windows.covered(length(texts[r.did]), [s.asDict() for s in r.spans], kind.window).sum()) for r in spans.collect()}
+        truth = {i: n for (i, _), (_, n, _) in zip(rows, substring.brute_force([t for _, t in rows]), strict=True)} if kind.words else {i: x[1] for i, x in suffix.brute_force(rows).items()}
+        assert {i: n for i, n in got.items() if n} == {i: n for i, n in truth.items() if n}
+
+
 def test_segments_do_not_depend_on_chunks(monkeypatch):
     data = " ".join(t for t in TEXTS if t).encode()
     units, firsts = windows.word_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
     kind = windows.Kind(True, 35, 8)
 
+
     def grams():
         return sorted(g for _, _, n, gram, _ in windows.segments(units, firsts, kind, True) for g, k in zip(gram.tolist(), n.tolist(), strict=True) for _ in range(k))
 
