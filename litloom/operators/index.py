@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litloom.config import SECTION_RANKS, SectionRank
+from litloom.functions.scoring import rank_discounted
 
 #: Rank and weight of a section that isn't listed.
 OTHER_RANK, OTHER_WEIGHT = 100, 0.01
@@ -31,23 +31,41 @@ def section_weights(matches: DataFrame, ranks: Iterable[SectionRank] = SECTION_R
     return ranked.select("pmid", "keywordId", "section", "rank", "weight", F.when(F.col("section") == "title", 1).otherwise(F.col("n")).cast("long").alias("hits"))
 
 
-def relevance(matches: DataFrame, scope: str = "best_rank", ranks: Iterable[SectionRank] = SECTION_RANKS) -> DataFrame:
-    """pmid, keywordId, relevance: the sum of weight / k**2 over hits, k counted in the order of (rank, weight downwards, section).
+def _hits(ranks: Iterable[SectionRank]) -> tuple[list[SectionRank], list[Column]]:
+    """Sections in the order in which their hits count, the unlisted ones as one, and an aggregate with each one's hits.
 
-    scope "best_rank" takes the sections of the keyword's best rank only, "all" takes every section. Sums run over
-    sections, not hits: from the k-th hit on, so many terms of 1 / k**2 as the section has hits.
+    A title counts once; so each keyword of a publication is one row of counters, combined before it is shuffled.
     """
+    listed = list(ranks)
+    order = sorted([*listed, SectionRank("", OTHER_RANK, OTHER_WEIGHT)], key=lambda r: (r.rank, -r.weight, r.section))
+    known = F.coalesce(F.col("section").isin([r.section for r in listed]), F.lit(False))
+    hits = []
+    for i, r in enumerate(order):
+        n = F.count_if(~known if r.section == "" else F.col("section") == r.section)
+        hits.append((F.least(n, F.lit(1)) if r.section == "title" else n).cast("int").alias(f"hits_{i}"))
+    return order, hits
+
+
+def _score(order: list[SectionRank], scope: str) -> Column:
+    """The sum of weight / k**2 over a row's hits, in order."""
+    best = F.least(*(F.when(F.col(f"hits_{i}") > 0, r.rank) for i, r in enumerate(order)))
+    counts = [F.when(best == r.rank, F.col(f"hits_{i}")).otherwise(0) if scope == "best_rank" else F.col(f"hits_{i}") for i, r in enumerate(order)]
+    return rank_discounted(F.flatten(F.array(*(F.array_repeat(F.lit(float(r.weight)), n) for r, n in zip(order, counts, strict=True)))))
+
+
+def _scoped(scope: str) -> str:
     if scope not in ("best_rank", "all"):
         raise ValueError(f"scope is best_rank or all, not {scope!r}")
-    rows = section_weights(matches, ranks)
-    if scope == "best_rank":
-        best = rows.groupBy("pmid", "keywordId").agg(F.min("rank").alias("rank"))
-        rows = rows.join(best, ["pmid", "keywordId", "rank"], "left_semi")
-    order = W.partitionBy("pmid", "keywordId").orderBy("rank", F.desc("weight"), "section").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.withColumn("before", F.coalesce(F.sum("hits").over(order), F.lit(0)))
-    terms = F.transform(F.sequence(F.col("before") + 1, F.col("before") + F.col("hits")), lambda k: 1 / (k * k).cast("double"))
-    score = F.col("weight") * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    return placed.select("pmid", "keywordId", score.alias("s")).groupBy("pmid", "keywordId").agg(F.sum("s").alias("relevance"))
+    return scope
+
+
+def relevance(matches: DataFrame, scope: str = "best_rank", ranks: Iterable[SectionRank] = SECTION_RANKS) -> DataFrame:
+    """pmid, keywordId, relevance: the sum of weight / k**2 over hits, k counted in the order of (rank, weight downwards, section).
+
+    scope "best_rank" takes the sections of the keyword's best rank only, "all" takes every section. One shuffle.
+    """
+    order, hits = _hits(ranks)
+    return matches.groupBy("pmid", "keywordId").agg(*hits).select("pmid", "keywordId", _score(order, _scoped(scope)).alias("relevance"))
 
 
 MATCH_FIELDS = ("label", "keywordType", "keywordId", "startInSentence", "endInSentence", "sectionStart", "sectionEnd")
@@ -67,10 +85,11 @@ def literature_index(matches: DataFrame, scope: str = "best_rank", ranks: Iterab
     Rows whose pmid is no number are left out; of rows that differ in pmcid, date or type, the smallest value of each counts.
     """
     rows = mapped(matches).withColumn("pmid", F.col("pmid").try_cast("long")).filter("pmid is not null").withColumnRenamed("type", "keywordType")
+    order, hits = _hits(ranks)
     dated = F.min(F.struct("date", "year", "month", "day")).alias("d")
-    about = rows.groupBy("pmid", "keywordId").agg(F.min("pmcid").alias("pmcid"), dated, F.min("keywordType").alias("keywordType")).select("pmid", "keywordId", "pmcid", "d.*", "keywordType")
+    about = rows.groupBy("pmid", "keywordId").agg(F.min("pmcid").alias("pmcid"), dated, F.min("keywordType").alias("keywordType"), *hits)
+    scored = about.select("pmid", "keywordId", "pmcid", "d.*", "keywordType", _score(order, _scoped(scope)).alias("relevance"))
     sentences = head_sentences(rows).select("pmid", F.to_json("sections").alias("sentences"))
-    scored = about.join(relevance(rows, scope, ranks), ["pmid", "keywordId"])
     return scored.join(sentences, "pmid", "left").select("pmid", "pmcid", "date", "year", "month", "day", "keywordId", "relevance", "keywordType", "sentences")
 
 

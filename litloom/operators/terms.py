@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from litloom.functions.text import stemmed, symbol_key, symbol_tokens, transliterate, word_key, word_tokens
@@ -49,6 +50,10 @@ def with_key(df: DataFrame, text: str, key_type: str = "keyType", stem: bool = T
     return df.withColumn("labelN", key).drop("__stems").filter(F.col("labelN").isNotNull())
 
 
+def _within_key():
+    return W.partitionBy("type", "labelN")
+
+
 def entity_lookup(terms: DataFrame, stem: bool = True, transliterate_terms: bool = False, approximate: bool = False) -> DataFrame:
     """labelN, type, keywordId, factor, distinct, and uniqueKeywordIdsPerLabelN: how many keywords a key stands for.
 
@@ -57,11 +62,15 @@ def entity_lookup(terms: DataFrame, stem: bool = True, transliterate_terms: bool
     if transliterate_terms:
         terms = terms.withColumn("text", transliterate(F.col("text")))
     keyed = with_key(terms, "text", stem=stem).select("labelN", "type", "keywordId", "factor").distinct()
-    count = F.approx_count_distinct("keywordId", 0.01) if approximate else F.countDistinct("keywordId")
-    return keyed.join(keyed.groupBy("type", "labelN").agg(count.alias("uniqueKeywordIdsPerLabelN")), ["type", "labelN"]).select("labelN", "type", "keywordId", "factor", "uniqueKeywordIdsPerLabelN")
+    # The number of distinct keywords is the largest rank among them; no row carries their set.
+    nth = F.dense_rank().over(_within_key().orderBy(F.col("keywordId").asc_nulls_last()))
+    count = F.approx_count_distinct("keywordId", 0.01) if approximate else F.max(F.when(F.col("keywordId").isNotNull(), F.col("__nth")).otherwise(0))
+    return keyed.withColumn("__nth", nth).withColumn("uniqueKeywordIdsPerLabelN", count.over(_within_key()).cast("long")).select("labelN", "type", "keywordId", "factor", "uniqueKeywordIdsPerLabelN")
 
 
 def best_terms(lookup: DataFrame) -> DataFrame:
-    """The lookup's rows with the largest factor of their key, ties kept; ranked here, once, and not for every label."""
-    best = lookup.groupBy("type", "labelN").agg(F.max("factor").alias("factor"))
-    return lookup.join(best, ["type", "labelN", "factor"], "left_semi")
+    """The lookup's rows with the largest factor of their key, ties kept; ranked here, once, and not for every label.
+
+    By the partitioning that the lookup was made with, so that it isn't shuffled again.
+    """
+    return lookup.withColumn("__best", F.max("factor").over(_within_key())).filter(F.col("factor") == F.col("__best")).drop("__best")

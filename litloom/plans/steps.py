@@ -54,6 +54,7 @@ def processing(ctx: Context) -> None:
     finally:
         matches.unpersist()
         coocs.unpersist()
+        found.release()
 
 
 def embed(ctx: Context) -> None:
