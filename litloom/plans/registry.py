@@ -6,13 +6,16 @@ Doubles are rounded to 9 places in both engines, and counts are bigint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litloom.functions import scoring, text
 from litloom.operators import embedding, evidence, grounding, index, publications, terms
+from litloom.plans.stems import stems_sql
 from litloom.plans.views import view, with_views
+from litloom.session import shared_dir
 from litloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +139,12 @@ def tokens_clean(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.word_tokens(F.col("text")), " ").alias("tokens"))
 
 
-@_query("stem_tokens")
+@_query(
+    "stem_tokens",
+    f"""WITH d AS (SELECT doc_id, {_lt_sql("text")} AS ts FROM documents), words AS (SELECT DISTINCT unnest(ts) AS t FROM d), {stems_sql("words")},
+x AS (SELECT doc_id, i, ts[i] AS t FROM (SELECT doc_id, ts, unnest(range(1, len(ts) + 1)) AS i FROM d)), s AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY i) AS stems FROM x JOIN stems USING (t) GROUP BY doc_id)
+SELECT doc_id, coalesce(stems, '') AS stems FROM d LEFT JOIN s USING (doc_id)""",
+)
 def stem_tokens(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.stemmed(text.word_tokens(F.col("text"))), " ").alias("stems"))
 
@@ -158,13 +166,15 @@ def greek_normalise(spark, sf_dir):
 
 # --- grounding ---
 
+_LK_SQL = """lk AS (SELECT * FROM (SELECT a.*, n AS uniqueKeywordIdsPerLabelN FROM lk0 a JOIN (SELECT type, labelN, count(DISTINCT keywordId) AS n FROM lk0 WHERE labelN <> '' GROUP BY ALL) USING (type, labelN)))"""
 _LOOKUP = f"""lk0 AS (SELECT DISTINCT CASE keyType WHEN 'LT' THEN {_lt_key_sql("text")} ELSE {_tt_key_sql("text")} END AS labelN, type, keywordId, factor FROM v_terms),
-lk AS (SELECT * FROM (SELECT a.*, n AS uniqueKeywordIdsPerLabelN FROM lk0 a JOIN (SELECT type, labelN, count(DISTINCT keywordId) AS n FROM lk0 WHERE labelN <> '' GROUP BY ALL) USING (type, labelN)))"""
+{_LK_SQL}"""
 _LABELS = """vk AS (SELECT type, label, CASE kt WHEN 'LT' THEN {lt} ELSE {tt} END AS labelN FROM (
   SELECT DISTINCT type, label, kt, translate(label, '{greek}', '{latin}') AS t FROM ({labels}) CROSS JOIN (VALUES ('LT'), ('TT')) k(kt) WHERE type IN ('GP', 'CD') AND kt = 'TT' OR type IN ('DS', 'GP', 'CD') AND kt = 'LT')),
-gl0 AS (SELECT vk.type, label, vk.labelN, keywordId, uniqueKeywordIdsPerLabelN FROM vk JOIN (SELECT *, max(factor) OVER (PARTITION BY type, labelN) AS best FROM lk) b USING (type, labelN) WHERE factor = best),
+{gl}"""
+_GL_SQL = """gl0 AS (SELECT vk.type, label, vk.labelN, keywordId, uniqueKeywordIdsPerLabelN FROM vk JOIN (SELECT *, max(factor) OVER (PARTITION BY type, labelN) AS best FROM lk) b USING (type, labelN) WHERE factor = best),
 gl AS (SELECT type, label, keywordId, labelN, uniqueKeywordIdsPerLabelN FROM gl0 QUALIFY row_number() OVER (PARTITION BY type, label, keywordId ORDER BY uniqueKeywordIdsPerLabelN, labelN) = 1)"""
-_LABELS = _LABELS.format(lt=_lt_key_sql("t"), tt=_tt_key_sql("t"), greek=text.GREEK, latin=text.LATIN, labels="{labels}")
+_LABELS = _LABELS.format(lt=_lt_key_sql("t"), tt=_tt_key_sql("t"), greek=text.GREEK, latin=text.LATIN, labels="{labels}", gl=_GL_SQL)
 _MENTIONS = "mm AS (SELECT pmid, pmcid, section, type, label, startInSentence, endInSentence FROM v_matches)"
 _GROUNDED = f"{with_views('v_matches', 'v_terms')}, {_MENTIONS}, {_LOOKUP}, {_LABELS.replace('{labels}', 'SELECT type, label FROM mm')}"
 
@@ -191,14 +201,57 @@ def entity_lut(spark, sf_dir):
     return _entity_lookup(spark, sf_dir)
 
 
+@_query("approximate_lut", f"{with_views('v_terms')}, {_LOOKUP} SELECT labelN, type, keywordId, factor, true AS near FROM lk")
+def approximate_lut(spark, sf_dir):
+    """The lookup with approximate numbers of keywords, each within one in twenty of the exact one, or one off."""
+    of = view(spark, sf_dir, "v_terms")
+    near, exact = terms.entity_lookup(of, stem=False, approximate=True), terms.entity_lookup(of, stem=False)
+    both = near.withColumnRenamed("uniqueKeywordIdsPerLabelN", "n").join(exact, ["labelN", "type", "keywordId", "factor"])
+    return both.select("labelN", "type", "keywordId", "factor", (F.abs(F.col("n") - F.col("uniqueKeywordIdsPerLabelN")) <= F.greatest(F.lit(1), 0.05 * F.col("uniqueKeywordIdsPerLabelN"))).alias("near"))
+
+
+def _catalogues(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Parts as diseases, targets and drugs, with the nested fields that these have."""
+    part, labelled = _table(spark, sf_dir, "part"), lambda c, name="label": F.array(F.struct(F.col(c).alias(name)))
+    own = lambda rest, mark: part.filter(f"p_partkey % 3 = {rest}").withColumn("id", F.concat(F.lit(mark), F.col("p_partkey").cast("string")))
+    none = F.lit(None).cast("array<string>")
+    exact = F.struct(F.array("p_brand").alias("hasExactSynonym"), F.array("p_type", "p_type").alias("hasNarrowSynonym"), F.array(F.lit("")).alias("hasBroadSynonym"), none.alias("hasRelatedSynonym"))
+    diseases = own(0, "EFO_").select("id", F.col("p_name").alias("name"), exact.alias("synonyms"))
+    targets = own(1, "ENSG").select(
+        "id", F.col("p_name").alias("approvedName"), F.col("p_brand").alias("approvedSymbol"), labelled("p_type").alias("nameSynonyms"), labelled("p_brand").alias("symbolSynonyms"),
+        labelled("id", "id").alias("proteinIds"), F.lit(None).cast("array<struct<label string>>").alias("obsoleteNames"), labelled("p_type").alias("obsoleteSymbols"),
+    )
+    drugs = own(2, "CHEMBL").select("id", F.col("p_name").alias("name"), F.array("p_brand").alias("tradeNames"), F.array("p_type", "p_name").alias("synonyms"))
+    return [diseases, targets, drugs]
+
+
+def _term_sql(rest: int, mark: str, kind: str, *fields: tuple[str, float, str]) -> str:
+    key = f"concat('{mark}', CAST(p_partkey AS VARCHAR))"
+    return "\nUNION ALL ".join(f"SELECT {key} AS keywordId, '{kind}' AS type, {text.replace('id', key) if text == 'id' else text} AS text, CAST({factor} AS DOUBLE) AS factor, '{keys}' AS keyType FROM part WHERE p_partkey % 3 = {rest}" for text, factor, keys in fields)
+
+
+@_query(
+    "catalogue_terms",
+    "\nUNION ALL ".join(
+        [
+            _term_sql(0, "EFO_", "DS", ("p_name", 1.0, "LT"), ("p_brand", 0.999, "LT"), ("p_type", 0.998, "LT")),
+            _term_sql(1, "ENSG", "GP", ("p_name", 1.0, "LT"), ("p_brand", 1.0, "TT"), ("p_type", 0.999, "LT"), ("p_brand", 0.999, "TT"), ("id", 0.999, "TT"), ("p_type", 0.998, "TT")),
+            _term_sql(2, "CHEMBL", "CD", *((t, f, k) for k in ("LT", "TT") for t, f in (("p_name", 1.0), ("p_brand", 0.999), ("p_type", 0.999), ("p_name", 0.999)))),
+        ]
+    ),
+)
+def catalogue_terms(spark, sf_dir):
+    return terms.all_terms(*_catalogues(spark, sf_dir))
+
+
 @_query("label_best_rank", f"{_GROUNDED} SELECT * FROM gl")
 def label_best_rank(spark, sf_dir):
     return grounding.ground_labels(_mentions(spark, sf_dir), _entity_lookup(spark, sf_dir), stem=False)
 
 
-def _resolved(spark, sf_dir):
+def _resolved(spark, sf_dir, stem=False):
     mentions = _mentions(spark, sf_dir)
-    return mentions, grounding.ground_labels(mentions, _entity_lookup(spark, sf_dir), stem=False)
+    return mentions, grounding.ground_labels(mentions, terms.entity_lookup(view(spark, sf_dir, "v_terms"), stem=stem), stem=stem).persist()
 
 
 _GROUND_COLUMNS = ["pmid", "pmcid", "section", "type", "label", "labelN", "keywordId", "startInSentence", "endInSentence"]
@@ -210,6 +263,20 @@ def ground_matches(spark, sf_dir):
     return mentions.join(known, ["type", "label"]).select(*_GROUND_COLUMNS)
 
 
+@_query(
+    "ground_matches_stemmed",
+    f"""{with_views("v_matches", "v_terms")}, {_MENTIONS}, vt AS (SELECT DISTINCT type, label, translate(label, '{text.GREEK}', '{text.LATIN}') AS t FROM mm),
+src AS (SELECT text AS s FROM v_terms WHERE keyType = 'LT' UNION SELECT t FROM vt), tk AS (SELECT s, unnest({_lt_sql("s")}) AS t FROM src), words AS (SELECT DISTINCT t FROM tk), {stems_sql("words")},
+ks AS (SELECT s, array_to_string(list_sort(list(DISTINCT stem)), '') AS k FROM tk JOIN stems USING (t) GROUP BY s),
+lk0 AS (SELECT DISTINCT CASE keyType WHEN 'LT' THEN k ELSE {_tt_key_sql("text")} END AS labelN, type, keywordId, factor FROM v_terms LEFT JOIN ks ON text = s), {_LK_SQL},
+vk AS (SELECT type, label, CASE kt WHEN 'LT' THEN k ELSE {_tt_key_sql("t")} END AS labelN FROM vt CROSS JOIN (VALUES ('LT'), ('TT')) kinds(kt) LEFT JOIN ks ON t = s WHERE type IN ('GP', 'CD') AND kt = 'TT' OR type IN ('DS', 'GP', 'CD') AND kt = 'LT'),
+{_GL_SQL} SELECT {", ".join(_GROUND_COLUMNS)} FROM mm JOIN gl USING (type, label)""",
+)
+def ground_matches_stemmed(spark, sf_dir):
+    mentions, known = _resolved(spark, sf_dir, stem=True)
+    return mentions.join(known, ["type", "label"]).select(*_GROUND_COLUMNS)
+
+
 @_query("failed_matches", f"{_GROUNDED} SELECT pmid, pmcid, section, type, label, startInSentence, endInSentence FROM mm ANTI JOIN gl USING (type, label)")
 def failed_matches(spark, sf_dir):
     return grounding.resolve_matches(*_resolved(spark, sf_dir))[1].select("pmid", "pmcid", "section", "type", "label", "startInSentence", "endInSentence")
@@ -235,10 +302,44 @@ SELECT {", ".join(_COOC_COLUMNS)} FROM g2""",
 def ground_cooccurrences(spark, sf_dir):
     coocs = _pairs(spark, sf_dir)
     labels = coocs.select(F.col("type1").alias("type"), F.col("label1").alias("label")).union(coocs.select("type2", "label2"))
-    known = grounding.ground_labels(labels, _entity_lookup(spark, sf_dir), stem=False)
+    known = grounding.ground_labels(labels, _entity_lookup(spark, sf_dir), stem=False).persist()
     return grounding.resolve_cooccurrences(coocs, known)[0].select(*_COOC_COLUMNS)
 
 
+def _as_sentences(matches: DataFrame | None, coocs: DataFrame | None) -> DataFrame:
+    """Mentions as sentences of one match or one co-occurrence each."""
+    places = ["pmid", "pmcid", "section"]
+    match = F.struct("label", "type", "startInSentence", "endInSentence")
+    cooc = F.struct("label1", "label2", F.concat_ws("-", "type1", "type2").alias("type"), F.col("evidence_score").alias("sentEvidenceScore"))
+    one = matches.select(*places, F.array(match).alias("matches"), F.lit(None).cast("array<struct<label1 string, label2 string, type string, sentEvidenceScore double>>").alias("co-occurrence"))
+    two = coocs.select("pmid", "pmcid", F.lit("other").alias("section"), F.lit(None).cast(dict(one.dtypes)["matches"]).alias("matches"), F.array(cooc).alias("co-occurrence"))
+    return one.union(two)
+
+
+_DRIVER = f"""{with_views("v_matches", "v_terms")}, v_coocs AS ({with_views("v_coocs").split("v_coocs AS (", 1)[1][:-1]}), {_MENTIONS}, cc AS (SELECT pmid, pmcid, type1, label1, type2, label2, evidence_score FROM v_coocs), {_LOOKUP},
+{_LABELS.replace("{labels}", "SELECT type, label FROM mm UNION SELECT type1, label1 FROM cc UNION SELECT type2, label2 FROM cc")},
+gm AS (SELECT * FROM mm JOIN gl USING (type, label)), g0 AS (SELECT * FROM cc JOIN (SELECT {", ".join(f"{c} AS {c}1" for c in _GL)} FROM gl) USING (type1, label1) JOIN (SELECT {", ".join(f"{c} AS {c}2" for c in _GL)} FROM gl) USING (type2, label2))"""
+
+
+@_query(
+    "grounding_driver",
+    f"""{_DRIVER}, g1 AS ({_disambiguated("g0", "keywordId1", "uniqueKeywordIdsPerLabelN1", "type1")}), g2 AS ({_disambiguated("g1", "keywordId2", "uniqueKeywordIdsPerLabelN2", "type2")}),
+gd AS ({_disambiguated("gm", "keywordId", "uniqueKeywordIdsPerLabelN", "type")})
+SELECT 'matches' AS output, type, keywordId AS first, CAST(NULL AS VARCHAR) AS second, count(*) AS rows, count(DISTINCT pmid) AS pmids FROM gd GROUP BY ALL
+UNION ALL SELECT 'failed matches', type, NULL, NULL, count(*), count(DISTINCT pmid) FROM mm ANTI JOIN gl USING (type, label) GROUP BY ALL
+UNION ALL SELECT 'co-occurrences', concat(type1, '-', type2), keywordId1, keywordId2, count(*), count(DISTINCT pmid) FROM g2 GROUP BY ALL
+UNION ALL SELECT 'failed co-occurrences', concat(type1, '-', type2), NULL, NULL, count(*), count(DISTINCT pmid) FROM cc
+  LEFT JOIN (SELECT type AS type1, label AS label1, keywordId AS k1 FROM gl) USING (type1, label1) LEFT JOIN (SELECT type AS type2, label AS label2, keywordId AS k2 FROM gl) USING (type2, label2) WHERE k1 IS NULL OR k2 IS NULL GROUP BY ALL""",
+)
+def grounding_driver(spark, sf_dir):
+    """All four outputs of the grounding of sentences, counted by keyword."""
+    found = grounding.ground(_as_sentences(_mentions(spark, sf_dir), _pairs(spark, sf_dir)), _entity_lookup(spark, sf_dir), stem=False)
+    none = F.lit(None).cast("string")
+    parts = [("matches", found.matches, F.col("keywordId"), none), ("failed matches", found.matches_failed, none, none), ("co-occurrences", found.cooccurrences, F.col("keywordId1"), F.col("keywordId2")), ("failed co-occurrences", found.cooccurrences_failed, none, none)]
+    counted = [df.groupBy(F.lit(name).alias("output"), "type", a.alias("first"), b.alias("second")).agg(F.count("*").alias("rows"), F.countDistinct("pmid").alias("pmids")) for name, df, a, b in parts]
+    return counted[0].union(counted[1]).union(counted[2]).union(counted[3])
+
+
 # --- literature index ---
 
 _RANKS = "ranks AS (SELECT * FROM (VALUES ('title', 1, 1.0::DOUBLE), ('abstract', 1, 0.8), ('concl', 1, 0.7), ('results', 2, 0.6), ('discuss', 2, 0.5), ('methods', 3, 0.3), ('other', 4, 0.1)) r(section, rank, weight))"
@@ -246,6 +347,9 @@ _WEIGHTS = f"""{with_views("v_matches")}, {_RANKS}, sw AS (SELECT pmid, keywordI
   CAST(CASE WHEN section = 'title' THEN 1 ELSE n END AS BIGINT) AS hits FROM (SELECT pmid, keywordId, section, count(*) AS n FROM v_matches WHERE isMapped GROUP BY ALL) LEFT JOIN ranks USING (section))"""
 _RELEVANCE = """x AS (SELECT pmid, keywordId, weight, row_number() OVER (PARTITION BY pmid, keywordId ORDER BY rank, weight DESC, section) AS k FROM (SELECT *, unnest(range(hits)) FROM {rows})),
 rel AS (SELECT pmid, keywordId, sum(weight / (k * k)) AS relevance FROM x GROUP BY ALL)"""
+_HEAD_JSON = """SELECT pmid, CAST(to_json(list_sort(list({'section': section, 'matches': matches}))) AS VARCHAR) AS sentences FROM (
+  SELECT pmid, section, list_sort(list({'label': label, 'keywordType': type, 'keywordId': keywordId, 'startInSentence': startInSentence, 'endInSentence': endInSentence})) AS matches
+  FROM v_matches WHERE isMapped AND section IN ('title', 'abstract') GROUP BY ALL) GROUP BY pmid"""
 _BEST = "(SELECT *, min(rank) OVER (PARTITION BY pmid, keywordId) AS best FROM sw) WHERE rank = best"
 
 
@@ -271,13 +375,13 @@ def literature_relevance_all(spark, sf_dir):
 @_query(
     "literature_index",
     f"""{_WEIGHTS}, {_RELEVANCE.format(rows=_BEST)}, ab AS (SELECT pmid, keywordId, min(pmcid) AS pmcid, min(date) AS date, min(type) AS keywordType FROM v_matches WHERE isMapped GROUP BY ALL),
-hs AS (SELECT pmid, true AS has_sentences FROM v_matches WHERE isMapped AND section IN ('title', 'abstract') GROUP BY pmid)
-SELECT pmid, pmcid, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day, keywordId, round(relevance, 9) AS relevance, keywordType, coalesce(has_sentences, false) AS has_sentences
+hs AS ({_HEAD_JSON})
+SELECT pmid, pmcid, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day, keywordId, round(relevance, 9) AS relevance, keywordType, sentences
 FROM ab JOIN rel USING (pmid, keywordId) LEFT JOIN hs USING (pmid)""",
 )
 def literature_index(spark, sf_dir):
     dated = _matches(spark, sf_dir).withColumns({"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")})
-    return index.literature_index(dated).withColumn("relevance", F.round("relevance", 9)).withColumn("has_sentences", F.col("sentences").isNotNull()).drop("sentences")
+    return index.literature_index(dated).withColumn("relevance", F.round("relevance", 9))
 
 
 @_query("section_sentences", f"{with_views('v_matches')} SELECT pmid, section, label, type AS keywordType, keywordId, startInSentence, endInSentence FROM v_matches WHERE isMapped AND section IN ('title', 'abstract')")
@@ -287,7 +391,7 @@ def section_sentences(spark, sf_dir):
     return sections.select("pmid", "section", "m.label", "m.keywordType", "m.keywordId", "m.startInSentence", "m.endInSentence")
 
 
-@_query("section_sentences_json")
+@_query("section_sentences_json", f"{with_views('v_matches')} {_HEAD_JSON}")
 def section_sentences_json(spark, sf_dir):
     return index.head_sentences(index.mapped(_matches(spark, sf_dir)).withColumnRenamed("type", "keywordType")).select("pmid", F.to_json("sections").alias("sentences"))
 
@@ -308,7 +412,15 @@ def publication_sentences(spark, sf_dir):
     return rows.select("pmid", "section", "m.label", "m.type", "m.keywordId", "m.startInSentence", "m.endInSentence")
 
 
-@_query("publication_index")
+@_query(
+    "publication_index",
+    f"""{with_views("v_matches")}, c AS (SELECT pmid, keywordId, min(pmcid) AS pmcid, min(date) AS date, count(*) AS n FROM v_matches WHERE isMapped GROUP BY ALL),
+t AS (SELECT pmid, min(pmcid) AS pmcid, min(date) AS pubDate, CAST(to_json(list_sort(list({{'keywordId': keywordId, 'countsPerKey': n}}))) AS VARCHAR) AS countsPerTerm FROM c GROUP BY pmid),
+m AS (SELECT pmid, section, list_sort(list({{'endInSentence': endInSentence, 'label': label, 'startInSentence': startInSentence, 'type': type, 'keywordId': keywordId, 'isMapped': true}})) AS matches
+  FROM (SELECT DISTINCT pmid, section, endInSentence, label, startInSentence, type, keywordId FROM v_matches WHERE isMapped AND section IN ('title', 'abstract')) GROUP BY ALL),
+s AS (SELECT pmid, CAST(to_json(list_sort(list({{'section': section, 'matches': matches}}))) AS VARCHAR) AS sentences FROM m GROUP BY pmid)
+SELECT pmid, pmcid, pubDate, countsPerTerm, sentences FROM t LEFT JOIN s USING (pmid)""",
+)
 def publication_index(spark, sf_dir):
     return index.publication_index(_matches(spark, sf_dir)).select("pmid", "pmcid", "pubDate", F.to_json("countsPerTerm").alias("countsPerTerm"), F.to_json("sentences").alias("sentences"))
 
@@ -407,3 +519,23 @@ def schema_rename(spark, sf_dir):
 @_query("harmonic_scores", "SELECT l_orderkey, round(sum(v / (k * k)), 9) AS harmonic FROM (SELECT l_orderkey, l_quantity / 50 AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) AS k FROM lineitem) GROUP BY l_orderkey")
 def harmonic_scores(spark, sf_dir):
     return _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_quantity") / 50).alias("vs")).select("l_orderkey", _r(scoring.harmonic(F.col("vs")), "harmonic"))
+
+
+@_query("max_harmonic", "SELECT l_linenumber, l_quantity, round(list_sum(list_transform(range(1, CAST(l_quantity AS INTEGER) + 1), lambda k: 1.0::DOUBLE / k)), 9) AS most FROM (SELECT DISTINCT l_linenumber, l_quantity FROM lineitem)")
+def max_harmonic(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select("l_linenumber", "l_quantity").distinct().select("l_linenumber", "l_quantity", _r(scoring.max_harmonic(F.col("l_quantity")), "most"))
+
+
+@_query(
+    "io_roundtrip",
+    "SELECT kind, n_name, n_nationkey, n_regionkey, true AS traced FROM nation CROSS JOIN (VALUES ('parquet'), ('json'), ('csv'), ('orc')) k(kind)",
+)
+def io_roundtrip(spark, sf_dir):
+    """A table written in each format, by region, and read again from nested folders, with the file it came from."""
+    nation, base = _table(spark, sf_dir, "nation"), f"{shared_dir(spark).rstrip('/')}/io_roundtrip"
+    specs = tables.default_outputs(base, "parquet", "parquet", "json", "csv", "orc")
+    specs = {k: replace(s, format=k, partition_by=("n_regionkey",), mode="overwrite", options={"header": "true"} if k == "csv" else {}) for k, s in specs.items()}
+    tables.write_tables({k: (nation, s) for k, s in specs.items()})
+    read = tables.read_tables(spark, {k: replace(s, schema=nation.schema) for k, s in specs.items()})
+    traced = [tables.with_source_file(df).select(F.lit(k).alias("kind"), "n_name", "n_nationkey", "n_regionkey", F.col("trace_source").contains(f"io_roundtrip/{k}").alias("traced")) for k, df in read.items()]
+    return traced[0].union(traced[1]).union(traced[2]).union(traced[3])

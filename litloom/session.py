@@ -30,6 +30,20 @@ def get_session(app_name: str = "litloom", master: str | None = None, conf: Mapp
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, read from the session.
+
+    Only where that is unset and the master is local is a folder made here.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    spark.conf.set("spark.checkpoint.dir", made := tempfile.mkdtemp(prefix="litloom-"))
+    return made
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once for each application; their path may lack it."""
     context = spark.sparkContext
