@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litloom.session import shared_dir
 from litloom.session import ship_package as ship  # noqa: F401
 
 #: A word is a maximal run of characters other than space and U+0009 to U+000D.
@@ -17,20 +17,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 _tables: dict[str, set[str]] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, read from the session.
-
-    Only where that is unset and the master is local is a folder made here.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    spark.conf.set("spark.checkpoint.dir", made := tempfile.mkdtemp(prefix="litloom-"))
-    return made
-
-
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -73,13 +59,17 @@ def forget(*tables: DataFrame) -> None:
         _tables[run_dir(table.sparkSession)].discard(table.staged_at)
 
 
-def release(spark: SparkSession, *keep: DataFrame) -> None:
-    """Deletes every table that this application has staged, but for keep; for when a result has been written."""
-    held = _tables[run_dir(spark)]
-    for path in held - {t.staged_at for t in keep}:
+def staged_tables(spark: SparkSession) -> set[str]:
+    """The tables that this application has staged and not deleted."""
+    return set(_tables[run_dir(spark)])
+
+
+def release(spark: SparkSession, before: set[str], *keep: DataFrame) -> None:
+    """Deletes what was staged since staged_tables() gave `before`, but for keep; for when a result has been written."""
+    for path in staged_tables(spark) - before - {t.staged_at for t in keep}:
         files, place = _file_system(spark, path)
         files.delete(place, True)
-        held.discard(path)
+        _tables[run_dir(spark)].discard(path)
 
 
 def as_scan(docs: DataFrame) -> DataFrame:
