@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.llm.runtime import staged
+from litloom.llm.runtime import forget, staged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     Links are combined for each end before they are shuffled. No links, no rows.
     """
     both = staged(links.select(F.col("a").alias("v"), F.col("b").alias("u")).union(links.select("b", "a")).distinct(), "links")
-    now = staged(both.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("root")), "roots")
+    now = last = staged(both.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("root")), "roots")
     while True:
         near = both.join(now.select(F.col("v").alias("u"), "root"), "u").groupBy("v").agg(F.min("root").alias("near"))
         # hooked: what a root's members have found is given to the root too
@@ -25,6 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         hooked = staged(stepped.join(hooks, "v", "left").select("v", "old", F.least("root", F.coalesce("hook", "root")).alias("root")), "hooked")
         jump = hooked.select(F.col("v").alias("root"), F.col("root").alias("next"))
         after = staged(hooked.join(jump, "root", "left").select("v", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("old")).alias("changed")), "roots")
+        forget(last, hooked)
+        last = after
         if after.filter("changed").isEmpty():
+            forget(both)
             return after.select("v", "root")
         now = after.select("v", "root")
