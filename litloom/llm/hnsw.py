@@ -221,14 +221,15 @@ def _search(least: float):
                     if held:
                         shard = built()
                         yield shard.query(shard.ids, shard.raw, True)
-                    now, held = keys[a], []
+                    now, shard, held = keys[a], None, []
                 if not guest[a]:
                     held.append((ids[a:b], vectors, weights[a:b]))
                     continue
                 if held:
                     shard, held = built(), []
                     yield shard.query(shard.ids, shard.raw, True)
-                yield shard.query(ids[a:b], vectors, False)
+                if shard is not None:  # else no vector of the label is at home here
+                    yield shard.query(ids[a:b], vectors, False)
         if held:
             shard = built()
             yield shard.query(shard.ids, shard.raw, True)
