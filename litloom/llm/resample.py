@@ -23,8 +23,6 @@ FIT = 20_000
 #: A bucket's log ratio is shrunk by z / (z + SHRINK), where z is twice the log likelihood ratio of its count in target
 #: against what raw text leads to expect; so what is rare in both says little, and every bucket has its say.
 SHRINK = 20.0
-#: Spread of the Gumbel noise; 1 is resampling by the weights themselves, less keeps closer to the heaviest.
-TEMPERATURE = 0.25
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BINS = 4096
@@ -39,8 +37,9 @@ def hashed_ngrams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[
     """The buckets of every text's features, text by text, and where each text starts.
 
     n-grams are words, A-Z lower-cased, the shapes of words and of pairs of words (runs of like characters as
-    one), and pairs of equal words as such. Pairs of words themselves would fill the buckets with what is rare. Each n-gram of a text is a feature once, and once more for being there 2, 4,
-    8, ... times, so a text says how often, but a long repetition doesn't drown the rest.
+    one), and pairs of equal words as such. Pairs of words themselves would fill the buckets with what is rare. Each
+    n-gram of a text is a feature once, and once more for being there 2, 4, 8, ... times, so a text says how often,
+    but a long repetition doesn't drown the rest.
     """
     units, firsts = word_units(_LOWER[data], offsets)
     n = np.diff(firsts)
@@ -90,17 +89,16 @@ def _count(buckets: int):
 
 
 def _weigh(model, buckets: int):
-    """Each text's features and their summed log ratios, as for a text of the target's length if it is much longer."""
+    """Each text's features and their summed log ratios."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio, length = model.value
-        table = np.append(ratio, np.float32(0))
+        table = np.append(model.value, np.float32(0))
         for rows, data, offsets in _batches(batches):
             at, firsts = hashed_ngrams(data, offsets, buckets)
             n = np.diff(firsts)
             # reduceat gives an entry for an empty text too; it is set to 0 afterwards
             sums = np.add.reduceat(np.append(table[at], np.float32(0)).astype(float), firsts[:-1]) if len(n) else np.zeros(0)
             keep = [rows.column(c) for c in rows.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums * (length / (n + length)), 0.0))], [c for c in rows.schema.names if c != "text"] + ["n_ngrams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums, 0.0))], [c for c in rows.schema.names if c != "text"] + ["n_ngrams", "log_weight"])
 
     return run
 
@@ -134,10 +132,9 @@ def _ratios(n_target: float, n_raw: float):
 
 @dataclass(frozen=True)
 class Models:
-    """log(target / raw) of each bucket, target's features a text, and the weight below which text is unlike it."""
+    """log(target / raw) of each bucket, and the weight below which text is unlike target."""
 
     ratio: np.ndarray
-    length: float
     cut: float
 
 
@@ -167,18 +164,16 @@ def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit:
     counts = staged(counts.join(target, "bucket", "left").fillna(0), "counts")
     n = counts.filter("bucket = -1").first()
     if n is None:  # no documents
-        return Models(np.zeros(buckets, np.float32), 1.0, float("-inf"))
-    some = counts.filter("bucket >= 0")
-    length = max(1.0, (some.agg(F.sum("target")).first()[0] or 0.0) / max(1.0, n.target))
-    paged = some.repartition(F.floor(F.col("bucket") / PAGE)).select("bucket", "target", "raw").mapInArrow(_ratios(n.target, n.raw), "page long, ratios binary")
+        return Models(np.zeros(buckets, np.float32), float("-inf"))
+    paged = counts.filter("bucket >= 0").repartition(F.floor(F.col("bucket") / PAGE)).select("bucket", "target", "raw").mapInArrow(_ratios(n.target, n.raw), "page long, ratios binary")
     ratio = np.zeros(-(-buckets // PAGE) * PAGE, np.float32)
     for page in paged.collect():  # 4 bytes for each bucket
         ratio[page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
     ratio = ratio[:buckets]
-    scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast((ratio, length)), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
+    scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast(ratio), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
     good = scored["good"].to_numpy() == 1
     weight = scored["log_weight"].to_numpy()
-    return Models(ratio, length, best_cut(weight[good], weight[~good]))
+    return Models(ratio, best_cut(weight[good], weight[~good]))
 
 
 def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:
@@ -218,22 +213,21 @@ def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     """rid, did, doc_id, n_ngrams, log_weight, key, kept of every row.
 
-    log_weight is the sum over a text's n_ngrams features of log(target / raw), shrunk by evidence, times
-    length / (n_ngrams + length), where length is target's features a text; so a long text weighs as one of about
-    that length, and a short one no more than it says. The sample has as many
-    documents as weigh at least the cut that parts the labelled ones best, and is drawn without replacement by
-    the largest log_weight + Gumbel noise, which comes from a hash of doc_id, so reruns agree. Texts that
-    are null, empty or blank are never drawn. Without labels of both kinds every other text is. Repeated rows
-    are drawn alike, but for a tie at the end; a doc_id with several labels counts as its worst; unlabelled documents take part.
+    log_weight is the log of the text's importance weight: the sum over its n_ngrams features of log(target / raw),
+    shrunk by evidence. The sample has k documents, as many as weigh at least the cut that parts the labelled ones
+    best, and is drawn without replacement and in proportion to the weights: by the largest key, which is log_weight
+    and standard Gumbel noise from a hash of doc_id, so reruns agree. Texts that are null, empty or blank are never
+    drawn. Without labels of both kinds every other text is. Repeated rows are drawn alike, but for a tie at the
+    end; a doc_id with several labels counts as its worst; unlabelled documents take part.
     """
     spark = docs.sparkSession
     ship(spark)
     models = fit_models(docs, labels)
-    table = spark.sparkContext.broadcast((models.ratio, models.length))
+    table = spark.sparkContext.broadcast(models.ratio)
     rows = with_row_key(docs, "doc_id", "text").select("rid", "did", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scored = rows.mapInArrow(_weigh(table, len(models.ratio)), "rid long, did long, doc_id long, n_ngrams long, log_weight double")
     uniform = (F.pmod(F.xxhash64("did", "n_ngrams", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    scored = staged(scored.withColumn("key", F.when(F.col("n_ngrams") > 0, F.col("log_weight") - TEMPERATURE * F.log(-F.log(uniform)))), "weights")
+    scored = staged(scored.withColumn("key", F.when(F.col("n_ngrams") > 0, F.col("log_weight") - F.log(-F.log(uniform)))), "weights")
     k = scored.filter((F.col("n_ngrams") > 0) & (F.col("log_weight") >= models.cut)).count()
     return top_k(scored, k).withColumn("kept", F.coalesce("kept", F.lit(False)))
 
