@@ -20,7 +20,7 @@ def main(args: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.WARNING)
     logging.getLogger("litloom").setLevel(logging.INFO)
     config = load(given.config, **({"base": given.base} if given.base else {}))
-    run_steps(Context(get_session(master=given.master), config), given.steps)
+    run_steps(Context(get_session(master=given.master, conf=config.session), config), given.steps)
 
 
 if __name__ == "__main__":

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, is_dataclass, replace
+from pathlib import Path
 from typing import Any
 
 
@@ -54,6 +56,8 @@ class Config:
     section_ranks: tuple[SectionRank, ...] = SECTION_RANKS
     word2vec: Word2VecSettings = field(default_factory=Word2VecSettings)
     paths: Mapping[str, str] = field(default_factory=dict)
+    #: Spark settings of the run's session, over the library's own.
+    session: Mapping[str, str] = field(default_factory=dict)
 
     INPUTS = {"epmcids": "inputs/PMID_PMCID_DOI.csv.gz", "diseases": "inputs/diseases", "targets": "inputs/targets", "drugs": "inputs/molecule", "epmc": "inputs/epmc"}
     OUTPUTS = ("matches", "cooccurrences", "failedMatches", "failedCooccurrences", "literatureIndex", "trainingSet", "W2VModel", "vectors", "evidence")
@@ -87,10 +91,44 @@ def override(config: Any, values: Mapping[str, Any]) -> Any:
     return replace(config, **changes)
 
 
+def _merged(below: Mapping[str, Any], above: Mapping[str, Any]) -> dict[str, Any]:
+    """below with what above has in its place, mapping by mapping."""
+    both = {k: _merged(below[k], v) if isinstance(v, Mapping) and isinstance(below.get(k), Mapping) else v for k, v in above.items()}
+    return {**below, **both}
+
+
+def _layers(path: Path, above: tuple[Path, ...] = ()) -> dict[str, Any]:
+    """A JSON file's settings over those of the files that its `include` names, which are beside it."""
+    if path.resolve() in above:
+        raise ConfigError(f"{path} includes itself")
+    values = json.loads(path.read_text(encoding="utf-8"))
+    names = values.pop("include", [])
+    merged: dict[str, Any] = {}
+    for name in [names] if isinstance(names, str) else names:
+        merged = _merged(merged, _layers(path.parent / name, (*above, path.resolve())))
+    return _merged(merged, values)
+
+
+def _substituted(value: Any, names: Mapping[str, Any], open_: tuple[str, ...] = ()) -> Any:
+    """value with each ${name} in its strings replaced by what the name stands for."""
+    def found(m: re.Match) -> str:
+        if m[1] in open_ or not isinstance(names.get(m[1]), (str, int, float)):
+            raise ConfigError(f"{m[0]} stands for no text or number" if m[1] not in open_ else f"{m[0]} stands for itself")
+        return str(_substituted(names[m[1]], names, (*open_, m[1])))
+
+    if isinstance(value, str):
+        return re.sub(r"\$\{([^}]*)\}", found, value)
+    if isinstance(value, Mapping):
+        return {k: _substituted(v, names, open_) for k, v in value.items()}
+    return [_substituted(v, names, open_) for v in value] if isinstance(value, list) else value
+
+
 def load(path: str | None = None, **values: Any) -> Config:
-    """The defaults, a JSON file's settings over them, and values over both."""
-    config = Config()
-    if path:
-        with open(path, encoding="utf-8") as f:
-            config = override(config, json.load(f))
-    return override(config, values)
+    """The defaults, a JSON file's settings over them, and values over both.
+
+    The file may `include` others, whose settings lie below its own, and say `${name}` in a string for one of
+    its `vars` or of its plain settings.
+    """
+    settings = _merged(_layers(Path(path)) if path else {}, values)
+    own = settings.pop("vars", {})
+    return override(Config(), _substituted(settings, {**settings, **own}))

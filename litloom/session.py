@@ -16,6 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.debug.maxToStringFields": "200",
+    "spark.sql.broadcastTimeout": "3000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -29,6 +29,19 @@ def test_read_and_write(spark, tmp_path):
     assert tables.conform(df, StructType.fromDDL("k string, more double")).collect()[0].more is None
 
 
+def test_config_layers_and_substitution(tmp_path):
+    (tmp_path / "below.json").write_text('{"vars": {"release": "22.04", "root": "/data/${release}"}, "threshold": 0.5, "word2vec": {"seed": 1, "vector_size": 9}}')
+    (tmp_path / "top.json").write_text('{"include": "below.json", "base": "${root}/runs", "word2vec": {"seed": 2}, "paths": {"epmc": "${base}/epmc-${release}"}, "session": {"spark.driver.maxResultSize": "0"}}')
+    got = config.load(str(tmp_path / "top.json"), threshold=0.25)
+    assert (got.base, got.threshold, got.word2vec.seed, got.word2vec.vector_size) == ("/data/22.04/runs", 0.25, 2, 9)
+    assert got.path("epmc") == "/data/22.04/runs/epmc-22.04" and got.session == {"spark.driver.maxResultSize": "0"}
+    (tmp_path / "loop.json").write_text('{"include": ["below.json", "loop.json"]}')
+    for bad in ('{"base": "${nothing}"}', '{"base": "${base}"}', '{"vars": {"a": "${b}", "b": "${a}"}, "base": "${a}"}', (tmp_path / "loop.json").read_text()):
+        (tmp_path / "loop.json").write_text(bad)
+        with pytest.raises(config.ConfigError):
+            config.load(str(tmp_path / "loop.json"))
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"output-format": "parquet", "word2vec": {"max-iter": 1}, "section_ranks": [{"section": "title", "rank": 1, "weight": 1.0}]}))
