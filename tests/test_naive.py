@@ -1,0 +1,12 @@
+"""The naive plans give the rows that the library's plans give."""
+
+import pytest
+
+from litloom.plans import naive, registry
+
+
+@pytest.mark.parametrize("name", sorted(naive.PLANS))
+def test_same_rows(spark, sf_dir, name):
+    other = naive.PLANS[name](spark, sf_dir)
+    rows = [sorted(tuple(str(r[c]) for c in other.columns) for r in df.select(other.columns).collect()) for df in (other, registry.QUERIES[name](spark, sf_dir))]
+    assert rows[0] and rows[0] == rows[1]
