@@ -12,17 +12,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from litloom.llm.components import components
-from litloom.llm.runtime import as_scan, keep_rows, ship, staged, with_row_key
+from litloom.llm.runtime import as_scan, forget, keep_rows, ship, staged, with_row_key
 from litloom.llm.windows import Spans, _batches, _mix, word_units
 
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
-#: Elements in a partition of a band's largest sets, on average.
-LOAD = 2.2
+#: Elements in a partition of a band's largest sets, on average; and partitions in a group.
+LOAD, GROUP = 1.1, 3
 #: Shingles known as frequent, at most; they only order signatures, so the bound changes no result.
 FREQUENT = 1 << 16
-#: Sets of a crowd that a task holds while the whole crowd passes by; a larger crowd has several such tasks.
-BLOCK = 4096
+#: Sets of a crowd that a task holds, and sets that pass by them; a larger crowd has several such tasks.
+BLOCK = 1024
+#: Shingles whose signatures go to one bucket, about.
+BUCKET = 1 << 21
 #: Members that are compared with one copy of a hub's set.
 HUB_MEMBERS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -59,12 +61,14 @@ def signatures(s: np.ndarray, frequent: np.ndarray, threshold: Fraction = THRESH
     """The set's signatures: two sets at or above the threshold share at least one.
 
     Sizes fall into bands that double. A set signs for its own band, and for the next one if a similar set may
-    lie there; for a band, hashes are dealt into n1 partitions. Two similar sets differ in at most k elements
-    and so in at most k partitions. A signature is a partition with all that the set has in it. Of any fixed
-    order of signatures the first k + 1 are enough: at most k of them differ from the other set's, so one that
-    agrees lies in both prefixes. The order takes first those with most elements that aren't frequent, as
-    unlike sets seldom share them. Where a set fills no more than k partitions it signs with all of them and
-    each of its elements, for another set that does so.
+    lie there. For a band, the domain of hashes is cut into partitions and these into groups of GROUP. In each group
+    the subsets of all partitions but one are enumerated; a signature is such a subset with all that the set has in
+    it, if it has anything. Two similar sets differ in at most k elements, and an element that one of them lacks
+    changes only the subsets with its partition, GROUP - 1 of its group; so at most `most` = (GROUP - 1) * k signatures
+    of either set aren't the other's. Of any fixed order of signatures the first most + 1 are enough: the first one
+    that both sets have lies in both prefixes. The order takes first those with most elements that aren't frequent, as
+    unlike sets seldom share them. A set with no more than `most` signs with all of them and each of its elements, for
+    another set that does so.
     """
     n = len(s)
     if not n:
@@ -78,20 +82,30 @@ def signatures(s: np.ndarray, frequent: np.ndarray, threshold: Fraction = THRESH
     out = []
     for b in (band, band + 1) if partner >= 2 << band else (band,):
         end = 2 << b  # sizes of the band are below
-        k = int((1 - threshold) / (1 + threshold) * (n + min(partner, end - 1)))
-        n1 = 2 * end if end <= 64 else int(end / LOAD) + 1
-        p = ((s >> np.uint64(32)) * np.uint64(n1)) >> np.uint64(32)
-        edge = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+        most = (GROUP - 1) * int((1 - threshold) / (1 + threshold) * (n + min(partner, end - 1)))
+        parts = 2 * end if end <= 64 else int(end / LOAD) + 1
+        part = (((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        group, place = np.divmod(part[edge], GROUP)
+        new = np.append(True, group[1:] != group[:-1])
+        group, row = group[new], np.cumsum(new) - 1
         salt = np.uint64((b + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        token = _mix(np.add.reduceat(_mix(s ^ salt), edge) + p[edge] * np.uint64(0xD6E8FEB86659FD93))
-        if len(edge) <= k:
+        content, fresh, there = np.zeros((len(group), GROUP), np.uint64), np.zeros((len(group), GROUP), np.int64), np.zeros((len(group), GROUP), np.int64)
+        content[row, place] = np.add.reduceat(_mix(s ^ salt), edge)
+        fresh[row, place] = np.add.reduceat(~known, edge, dtype=np.int64)
+        there[row, place] = 1
+        # all but one: what the group has without that one's
+        some = there.sum(1)[:, None] > there
+        subset = (group[:, None] * GROUP + np.arange(GROUP)).astype(np.uint64)
+        token = _mix(content.sum(1)[:, None] - content + subset * np.uint64(0xD6E8FEB86659FD93))[some]
+        if len(token) <= most:
             out += [token, _mix(s + salt)]
-        elif len(edge) == k + 1:
+        elif len(token) == most + 1:
             out.append(token)
         else:
-            fresh = np.minimum(np.add.reduceat((~known).astype(np.uint64), edge), np.uint64(255))
-            order = (np.uint64(255) - fresh) << np.uint64(56) | token >> np.uint64(8)
-            out.append(token[np.argpartition(order, k)[: k + 1]])
+            rare = np.minimum((fresh.sum(1)[:, None] - fresh)[some], 255).astype(np.uint64)
+            order = (np.uint64(255) - rare) << np.uint64(56) | token >> np.uint64(8)
+            out.append(token[np.argpartition(order, most)[: most + 1]])
     return np.concatenate(out)
 
 
@@ -131,7 +145,7 @@ def _sign(buckets: int, frequent: np.ndarray):
                 mine = owner[a:b]
                 e = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
                 low = token[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                blobs.append((int(bucket[a]), mine[e].tobytes(), np.diff(np.append(e, b - a)).astype(np.uint16).tobytes(), low.tobytes()))
+                blobs.append((int(bucket[a]), mine[e].tobytes(), np.diff(np.append(e, b - a)).astype(np.uint32).tobytes(), low.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in blobs], pa.int32()), *(pa.array([x[i] for x in blobs], pa.binary()) for i in (1, 2, 3))], ["bucket", "owners", "counts", "tokens"])
 
     return run
@@ -162,7 +176,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield groups(owners, tokens)
                 owners, tokens = [], []
             now = bucket
-            owners.append(np.repeat(np.frombuffer(own, np.int64), np.frombuffer(counts, np.uint16)))
+            owners.append(np.repeat(np.frombuffer(own, np.int64), np.frombuffer(counts, np.uint32)))
             wide = np.zeros((len(low) // 5, 8), np.uint8)
             wide[:, :5] = np.frombuffer(low, np.uint8).reshape(-1, 5)
             tokens.append(wide.view("<u8").ravel())
@@ -227,8 +241,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross(threshold: Fraction):
-    """Rows come sorted by crowd and part: first the sets that the part holds, then all of the crowd. Out go pairs
-    from different components that sizes and sketches don't rule out."""
+    """Rows come sorted by crowd, part and slice: first the sets that the part holds, then those of the slice. Out go
+    pairs from different components that sizes and sketches don't rule out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         blocks: dict[int, tuple[np.ndarray, ...]] = {}
@@ -261,10 +275,10 @@ def _cross(threshold: Fraction):
                             other += np.maximum(v[i + p], v2[q]).tolist()
                 passing.clear()
 
-            for crowd, part, guest, v, root, n, sk in zip(*(batch.column(c).to_pylist() for c in ("crowd", "part", "guest", "v", "root", "n", "sketch")), strict=True):
-                if (crowd, part) != now:
+            for crowd, part, slice_, guest, v, root, n, sk in zip(*(batch.column(c).to_pylist() for c in ("crowd", "part", "slice", "guest", "v", "root", "n", "sketch")), strict=True):
+                if (crowd, part, slice_) != now:
                     compare()
-                    now, held, blocks = (crowd, part), [], {}
+                    now, held, blocks = (crowd, part, slice_), [], {}
                 if not guest:
                     held.append((v, root, n, sk))
                     continue
@@ -281,19 +295,22 @@ def _crossing(groups: DataFrame, root: DataFrame, sketches: DataFrame, threshold
     """Pairs (hub, x) of different components that may be similar, among sets that share a signature.
 
     Groups that aren't of one component yet belong to the crowd of their commonest component. A crowd's sets that
-    aren't of that component are held, BLOCK to a part, and compared with all of the crowd by their sketches; so
-    every pair of different components in a group is compared, and no pair is made before it has passed.
+    aren't of that component are held, about BLOCK to a part, and compared by their sketches with all of the crowd,
+    about BLOCK of them to a slice; so every pair of different components in a group is compared, in a task of two
+    blocks, and no pair is made before it has passed.
     """
     members = groups.select("name", F.explode("members").alias("v")).join(root, "v", "left").select("name", "v", F.coalesce("root", "v").alias("root"))
     shares = members.groupBy("name", "root").agg(F.count("*").alias("n"))
     main = shares.groupBy("name").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("crowd")).filter("roots > 1").select("name", "crowd")
     of = staged(members.join(main, "name").select("crowd", "v", "root").distinct().join(sketches, "v"), "crowds")
-    parts = of.groupBy("crowd").agg(F.ceil(F.count_if(F.col("root") != F.col("crowd")) / BLOCK).alias("parts"))
-    sized = of.join(parts, "crowd")
-    hosts = sized.filter("root != crowd").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts"))).withColumn("guest", F.lit(False))
-    guests = sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("guest", F.lit(True))
-    columns = ["crowd", "part", "guest", "v", "root", "n", "sketch"]
-    rows = hosts.select(*columns).unionByName(guests.select(*columns)).repartition("crowd", "part").sortWithinPartitions("crowd", "part", "guest", "n")
+    blocks = of.groupBy("crowd").agg(F.ceil(F.count_if(F.col("root") != F.col("crowd")) / BLOCK).alias("parts"), F.ceil(F.count("*") / BLOCK).alias("slices"))
+    sized = of.join(blocks, "crowd")
+    dealt = lambda n: F.pmod(F.xxhash64("v"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    hosts = sized.filter("root != crowd").withColumn("part", dealt("parts")).withColumn("slice", every("slices")).withColumn("guest", F.lit(False))
+    guests = sized.withColumn("slice", dealt("slices")).withColumn("part", every("parts")).withColumn("guest", F.lit(True))
+    columns = ["crowd", "part", "slice", "guest", "v", "root", "n", "sketch"]
+    rows = hosts.select(*columns).unionByName(guests.select(*columns)).repartition("crowd", "part", "slice").sortWithinPartitions("crowd", "part", "slice", "guest", "n")
     return rows.mapInArrow(_cross(threshold), "hub long, x long").distinct()
 
 
@@ -327,7 +344,8 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     classes = staged(sets.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"), F.first("rid").alias("rid"), F.first("did").alias("did")), "classes")
     top = found.filter("rid is null").groupBy("h1").agg(F.sum("n").alias("times")).orderBy(F.desc("times"), "h1").limit(FREQUENT).select("h1").collect()
     frequent = np.sort(np.array([r.h1 for r in top], np.int64).view(np.uint64))
-    buckets = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    # A task holds a bucket of signatures at a time, so their number follows the input.
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")), (sets.agg(F.sum("n")).first()[0] or 0) // BUCKET)
     signed = rows.select("text").mapInArrow(_sign(buckets, frequent), "bucket int, owners binary, counts binary, tokens binary")
     groups = staged(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "name long, times long, members array<long>").groupBy("name").agg(F.sum("times").alias("times"), F.first("members").alias("members")), "groups")
 
