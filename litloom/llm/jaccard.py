@@ -26,7 +26,7 @@ BLOCK = 1024
 #: Shingles whose signatures go to one bucket, about.
 BUCKET = 1 << 21
 #: Members that are compared with one copy of a hub's set.
-HUB_MEMBERS = 4096
+HUB_MEMBERS = 256
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -303,7 +303,8 @@ def _crossing(groups: DataFrame, root: DataFrame, sketches: DataFrame, threshold
     shares = members.groupBy("name", "root").agg(F.count("*").alias("n"))
     main = shares.groupBy("name").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("crowd")).filter("roots > 1").select("name", "crowd")
     of = staged(members.join(main, "name").select("crowd", "v", "root").distinct().join(sketches, "v"), "crowds")
-    blocks = of.groupBy("crowd").agg(F.ceil(F.count_if(F.col("root") != F.col("crowd")) / BLOCK).alias("parts"), F.ceil(F.count("*") / BLOCK).alias("slices"))
+    # Staged, so that the join has plain exchanges on both sides, whose large partitions Spark can split.
+    blocks = staged(of.groupBy("crowd").agg(F.ceil(F.count_if(F.col("root") != F.col("crowd")) / BLOCK).alias("parts"), F.ceil(F.count("*") / BLOCK).alias("slices")), "blocks")
     sized = of.join(blocks, "crowd")
     dealt = lambda n: F.pmod(F.xxhash64("v"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
