@@ -10,15 +10,33 @@ from litloom.llm.runtime import WORD
 SYMBOLS = "#*$%&|<>"
 #: A document goes that keeps less than this share of its words.
 KEEP_SHARE = 0.7
-#: A prose line ends so, closing quotes and brackets aside. A line of at most SHORT words may also be a heading.
+#: A prose line ends so, closing quotes and brackets aside, which is looked for in its last TAIL characters. A line of at
+#: most SHORT words may also be a heading.
 ENDS_WELL = r"""[.!?…:;,。！？]["'”’»)\]]*\s*$"""
-SHORT = 4
+SHORT, TAIL = 4, 40
+#: White space as words are parted by, and SYMBOLS, as classes of characters.
+SPACE, SYMBOL = r"[\x20\x09-\x0D]", f"[{SYMBOLS}]"
 #: Menus, tables and link lists: items between separators.
 NAVIGATION = r"(?:\s[|»›·•>]\s.*){2}|^\s*(?:[|»›·•>]\s)"
-BOILERPLATE = (
-    r"(?i)\b(?:all rights reserved|terms (?:of|and) (?:use|service|conditions)|privacy policy|cookies?\b.{0,40}\b(?:policy|accept|use)|accept (?:all )?cookies|"
-    r"licensed under|spdx-license-identifier|javascript (?:is|must be)|enable javascript|lorem ipsum|click here|subscribe to|sign (?:in|up) (?:to|for)|copyright (?:©|\(c\)|\d{4}))"
-)
+#: Stock phrases of licences, policies, menus and forms, as patterns for text in lower case.
+PHRASES = (
+    "all rights reserved", "terms (?:of|and) (?:use|service|conditions)", "privacy policy", "cookies?\\b.{0,40}\\b(?:policy|accept|use)", "accept (?:all )?cookies",
+    "licensed under", "spdx-license-identifier", "javascript (?:is|must be)", "enable javascript", "lorem ipsum", "click here", "subscribe to", "sign (?:in|up) (?:to|for)", "copyright (?:©|\\(c\\)|\\d{4})",
+    "released under the .{0,30}licen[cs]e", "tous droits réservés", "conditions (?:générales )?d.utilisation", "politique de confidentialité", "mentions légales", "cliquez ici", "abonnez-vous", "accepter (?:les )?cookies",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "impressum\\b", "hier klicken", "jetzt abonnieren", "cookies akzeptieren",
+    "todos los derechos reservados", "términos (?:y condiciones|de uso)", "política de privacidad", "haga clic aquí", "suscríbete", "aceptar (?:las )?cookies",
+)
+
+
+def _phrases(phrases: tuple[str, ...]) -> str:
+    """One pattern for all, whose first letters are tried once."""
+    by_letter: dict[str, list[str]] = {}
+    for p in phrases:
+        by_letter.setdefault(p[0], []).append(p[1:])
+    return r"\b(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")"
+
+
+BOILERPLATE = _phrases(PHRASES)
 
 
 def _let(value: Column, body) -> Column:
@@ -29,7 +47,7 @@ def _let(value: Column, body) -> Column:
 def repeat_words(words: Column) -> Column:
     """How many words lie in a window of three consecutive words that the array has twice or more.
 
-    Windows are compared by a 64-bit hash of their words with the lengths, within one text only.
+    Windows are compared by a 64-bit hash of their words' hashes, within one text only.
     """
     def covered(at: Column) -> Column:
         """Words covered by windows that start at these sorted places."""
@@ -41,7 +59,8 @@ def repeat_words(words: Column) -> Column:
         return F.array_sort(F.transform(twice, lambda p: p["i"]))
 
     def of(ws: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(0), F.size(ws) - 3), lambda i: F.xxhash64(F.get(ws, i), F.lit(" "), F.get(ws, i + 1), F.lit(" "), F.get(ws, i + 2)))
+        one = F.transform(ws, lambda w: F.xxhash64(w))
+        hashes = _let(one, lambda hs: F.transform(F.slice(hs, 1, F.size(hs) - 2), lambda h, i: F.xxhash64(h, F.get(hs, i + 1), F.get(hs, i + 2))))
         many = lambda hs: _let(F.array_sort(F.transform(hs, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), lambda pairs: _let(places(pairs), covered))
         return F.when(F.size(ws) < 4, F.lit(0).cast("long")).otherwise(_let(hashes, lambda hs: F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0).cast("long")).otherwise(many(hs))))
 
@@ -52,24 +71,25 @@ def line_rules(lines: Column) -> Column:
     """Each line that has a word: its text, words, and whether it fails a rule.
 
     punctuation: it doesn't end as prose does, and is no short heading. navigation: items between separators.
-    boilerplate: a stock phrase of licences, policies and menus. shouting: most words end in a mark and no
-    letter is small. symbols: at least one word in four carries one of SYMBOLS. repeated: half of
-    the words, in a line of ten or more, are the same as the one before.
+    boilerplate: one of PHRASES. shouting: 20 letters or more, in upper case. symbols: at least one of SYMBOLS for
+    every four words. repeated: half of the words, in a line of ten or more, are the same as the one before.
     """
     def rules(line: Column) -> Column:
-        n = F.regexp_count(line, F.lit(WORD))
-        letters = F.regexp_replace(line, r"[^\p{L}]", "")
-        symbols = F.char_length(line) - F.char_length(F.translate(line, SYMBOLS, ""))
-        words = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+        return _let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda words: judged(line, words))
+
+    def judged(line: Column, words: Column) -> Column:
+        n = F.size(words)
+        # Like neighbours leave few distinct words, which are counted faster.
+        few = F.size(F.array_distinct(words)) * 2 <= n + 1
         return F.struct(
             line.alias("line"),
             n.cast("long").alias("n"),
-            (~line.rlike(ENDS_WELL) & (n > SHORT)).alias("punctuation"),
+            ((n > SHORT) & ~F.substring(line, -TAIL, TAIL).rlike(ENDS_WELL)).alias("punctuation"),
             line.rlike(NAVIGATION).alias("navigation"),
-            line.rlike(BOILERPLATE).alias("boilerplate"),
-            ((F.char_length(letters) >= 20) & (letters == F.upper(letters)) & (letters != F.lower(letters))).alias("shouting"),
-            (symbols * 4 >= n).alias("symbols"),
-            ((n >= 10) & (_let(words, lambda ws: F.size(F.filter(ws, lambda w, i: w == F.get(ws, i - 1)))) * 2 >= n)).alias("repeated"),
+            F.lower(line).rlike(BOILERPLATE).alias("boilerplate"),
+            ((line == F.upper(line)) & (line != F.lower(line)) & (F.char_length(F.regexp_replace(line, r"[^\p{L}]", "")) >= 20)).alias("shouting"),
+            (F.regexp_count(line, F.lit(SYMBOL)) * 4 >= n).alias("symbols"),
+            ((n >= 10) & few & (F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))) * 2 >= n)).alias("repeated"),
         )
 
     return F.filter(F.transform(lines, rules), lambda x: x["n"] > 0)
@@ -88,8 +108,8 @@ def clean_documents(docs: DataFrame, keep_share: float = KEEP_SHARE) -> DataFram
         "doc_id",
         "text",
         F.size(words).cast("long").alias("n_words"),
-        F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-        (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.char_length(text) - F.regexp_count(text, F.lit(SPACE))).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         repeat_words(words).alias("n_repeat_words"),
         line_rules(F.split(text, "\n", -1)).alias("lines"),
     )
