@@ -18,8 +18,12 @@ PART = 100_000
 #: A space between two characters that aren't white space. The tokenizer's pattern always starts a new piece
 #: there, so what lies between such spaces can be encoded by itself.
 CUT = re.compile(r"(?<=[!-~À-ɏ])(?= [!-~À-ɏ])")
+#: A run of white space that the fast library's pattern may not get through; the tokenizer's own library does.
+LONG_RUN = re.compile(r"\s{50000}")
 #: Fixed value: the pattern by which byte-level tokenizers of this kind cut a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for a text without two white-space characters side by side, and without the part that looks ahead.
+SINGLE, DOUBLE = PATTERN.replace(r"\s+(?!\S)|", ""), re.compile(r"\s\s")
 
 _encoders: dict[str, Callable[[str], bytes]] = {}
 
@@ -50,8 +54,16 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     import numpy as np
 
+    def own() -> Callable[[str], list[int]]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    slow = None
     before = spec.get("pre_tokenizer") or {}
     if spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not spec.get("normalizer"):
         import tiktoken
@@ -59,22 +71,25 @@ def encoder(path: str) -> Callable[[str], bytes]:
         byte_of = _byte_of()
         special = {t["content"] for t in spec.get("added_tokens", ())}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        whole = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        single, double = (tiktoken.Encoding("file", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (SINGLE, PATTERN))
+        whole = lambda text: (double if DOUBLE.search(text) else single)(text)
     else:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        whole = slow = own()
 
     def encode(text: str) -> bytes:
+        nonlocal slow
         if len(text) <= PART:
             return np.array(whole(text), "<u4").tobytes()
         out, at = [], 0
         while at < len(text):
             found = CUT.search(text, at + PART)
             upto = found.start() if found else len(text)
-            out.append(np.array(whole(text[at:upto]), "<u4").tobytes())
+            part = text[at:upto]
+            if len(part) > 2 * PART and LONG_RUN.search(part):
+                slow = slow or own()
+                out.append(np.array(slow(part), "<u4").tobytes())
+            else:
+                out.append(np.array(whole(part), "<u4").tobytes())
             at = upto
         return b"".join(out)
 
@@ -129,6 +144,11 @@ def sequences(docs: DataFrame, tokenizer: str | None = None, most: int = MAX_TOK
     return packed_pieces(docs, tokenizer, most).select("length", "sequence_id", "ids", "doc_id", "start")
 
 
+def write_sequences(docs: DataFrame, path: str, tokenizer: str | None = None, most: int = MAX_TOKENS) -> None:
+    """The sequences written under path, a folder `length=N` for each bucket of equal lengths."""
+    sequences(docs, tokenizer, most).write.partitionBy("length").parquet(path)
+
+
 def pack_digest(docs: DataFrame) -> DataFrame:
     crc = F.crc32(F.col("ids")).alias("ids_crc32")
     return packed_pieces(docs).select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
