@@ -180,14 +180,23 @@ class _Shard:
         return i
 
     def query(self, ids: np.ndarray, vectors: np.ndarray, own: bool) -> pa.RecordBatch:
-        """(id, weight, null) for each query with links, and (id, 0, other) for links that join what wasn't joined."""
+        """(id, weight, null) for each query with links, and (id, 0, other) for links that join what wasn't joined.
+
+        A link between own vectors of up to FEW links each counts for both, whichever of them found it.
+        """
         out: list[tuple[int, int, int | None]] = []
+        few: dict[int, set[int]] = {}
+        many: set[int] = set()
         norms = np.sqrt((vectors * vectors).sum(1))
         for k, (name, v, norm, found) in enumerate(zip(ids.tolist(), vectors, norms, self._within(vectors / norms[:, None]), strict=True)):
             cos = (self.raw[found] * v).sum(1) / (self.norms[found] * norm)
             found = found[cos >= self.least]
             if own:
                 found = found[found != k]
+                if len(found) > FEW:
+                    many.add(k)
+                elif len(found):
+                    few[k] = set(found.tolist())
             if len(found):
                 out.append((name, int(self.weights[found].sum()), None))
                 first = k if own else int(found[0])
@@ -198,6 +207,8 @@ class _Shard:
                     if a != b:
                         self.root[b] = a
                         out.append((name, 0, int(self.ids[j])))
+        for k, mine in few.items():
+            out += [(int(ids[j]), int(self.weights[k]), None) for j in mine if j not in many and k not in few.get(j, ())]
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["cid", "weight", "other"])
 
 
