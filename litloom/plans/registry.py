@@ -15,8 +15,8 @@ from litloom.functions import scoring, text
 from litloom.operators import embedding, evidence, grounding, index, publications, terms
 from litloom.plans.stems import stems_sql
 from litloom.plans.views import view, with_views
-from litloom.session import shared_dir
 from litloom.sources import tables
+from litloom.sources.staging import run_dir, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -251,7 +251,7 @@ def label_best_rank(spark, sf_dir):
 
 def _resolved(spark, sf_dir, stem=False):
     mentions = _mentions(spark, sf_dir)
-    return mentions, grounding.ground_labels(mentions, terms.entity_lookup(view(spark, sf_dir, "v_terms"), stem=stem), stem=stem).persist()
+    return mentions, staged(grounding.ground_labels(mentions, terms.entity_lookup(view(spark, sf_dir, "v_terms"), stem=stem), stem=stem), "labels")
 
 
 _GROUND_COLUMNS = ["pmid", "pmcid", "section", "type", "label", "labelN", "keywordId", "startInSentence", "endInSentence"]
@@ -302,7 +302,7 @@ SELECT {", ".join(_COOC_COLUMNS)} FROM g2""",
 def ground_cooccurrences(spark, sf_dir):
     coocs = _pairs(spark, sf_dir)
     labels = coocs.select(F.col("type1").alias("type"), F.col("label1").alias("label")).union(coocs.select("type2", "label2"))
-    known = grounding.ground_labels(labels, _entity_lookup(spark, sf_dir), stem=False).persist()
+    known = staged(grounding.ground_labels(labels, _entity_lookup(spark, sf_dir), stem=False), "labels")
     return grounding.resolve_cooccurrences(coocs, known)[0].select(*_COOC_COLUMNS)
 
 
@@ -532,7 +532,7 @@ def max_harmonic(spark, sf_dir):
 )
 def io_roundtrip(spark, sf_dir):
     """A table written in each format, by region, and read again from nested folders, with the file it came from."""
-    nation, base = _table(spark, sf_dir, "nation"), f"{shared_dir(spark).rstrip('/')}/io_roundtrip"
+    nation, base = _table(spark, sf_dir, "nation"), f"{run_dir(spark)}/io_roundtrip"
     specs = tables.default_outputs(base, "parquet", "parquet", "json", "csv", "orc")
     specs = {k: replace(s, format=k, partition_by=("n_regionkey",), mode="overwrite", options={"header": "true"} if k == "csv" else {}) for k, s in specs.items()}
     tables.write_tables({k: (nation, s) for k, s in specs.items()})

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from litloom import schemas
 from litloom.config import Config
 from litloom.operators import embedding, evidence, grounding, index, publications, terms
+from litloom.sources.staging import release, staged_tables
 from litloom.sources.tables import TableSpec, read_table, with_source_file, write_table
 
 log = logging.getLogger(__name__)
@@ -42,6 +43,7 @@ def processing(ctx: Context) -> None:
     diseases, targets, drugs = (ctx.read(n, format="parquet") for n in ("diseases", "targets", "drugs"))
     pubs = with_source_file(ctx.read("epmc", format="json", options={"recursiveFileLookup": "true"}, schema=schemas.PUBLICATIONS))
     entities = terms.entity_lookup(terms.all_terms(diseases, targets, drugs))
+    before = staged_tables(ctx.spark)
     found = grounding.ground(publications.usable(publications.load_publications(pubs, lookup)), entities)
     # Each of the two is read by more than one output; narrow rows, kept on disk.
     matches, coocs = (df.persist(StorageLevel.DISK_ONLY) for df in (found.matches, found.cooccurrences))
@@ -54,7 +56,7 @@ def processing(ctx: Context) -> None:
     finally:
         matches.unpersist()
         coocs.unpersist()
-        found.release()
+        release(ctx.spark, before)
 
 
 def embed(ctx: Context) -> None:
