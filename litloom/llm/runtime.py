@@ -1,75 +1,16 @@
-"""Shared helpers: the cluster's shared folder, staged tables and row identity."""
+"""Shared helpers: staged tables and row identity."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.session import shared_dir
 from litloom.session import ship_package as ship  # noqa: F401
+from litloom.sources.staging import forget, release, staged, staged_bytes, staged_tables  # noqa: F401
 
 #: A word is a maximal run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Tables staged so far, by the application's folder.
-_tables: dict[str, set[str]] = {}
-
-
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def run_dir(spark: SparkSession) -> str:
-    """This application's own folder in the shared one; Hadoop deletes it when the driver's JVM ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/litloom-{spark.sparkContext.applicationId}"
-    if path not in _tables:
-        _tables[path] = set()
-        files, place = _file_system(spark, path)
-        files.mkdirs(place)
-        files.deleteOnExit(place)
-    return path
-
-
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """df written as a table in the shared folder and read back; later stages restart from it."""
-    spark = df.sparkSession
-    folder = run_dir(spark)
-    path = f"{folder}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _tables[folder].add(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.staged_at = path
-    return out
-
-
-def staged_bytes(table: DataFrame) -> int:
-    """Bytes of a staged table's files."""
-    files, place = _file_system(table.sparkSession, table.staged_at)
-    return files.getContentSummary(place).getLength()
-
-
-def forget(*tables: DataFrame) -> None:
-    """Deletes staged tables that no plan still to be run reads."""
-    for table in tables:
-        files, place = _file_system(table.sparkSession, table.staged_at)
-        files.delete(place, True)
-        _tables[run_dir(table.sparkSession)].discard(table.staged_at)
-
-
-def staged_tables(spark: SparkSession) -> set[str]:
-    """The tables that this application has staged and not deleted."""
-    return set(_tables[run_dir(spark)])
-
-
-def release(spark: SparkSession, before: set[str], *keep: DataFrame) -> None:
-    """Deletes what was staged since staged_tables() gave `before`, but for keep; for when a result has been written."""
-    for path in staged_tables(spark) - before - {t.staged_at for t in keep}:
-        files, place = _file_system(spark, path)
-        files.delete(place, True)
-        _tables[run_dir(spark)].discard(path)
 
 
 def as_scan(docs: DataFrame) -> DataFrame:
