@@ -367,8 +367,9 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     crossing = staged(_crossing(groups, components(links), sketches, threshold), "crossing")
     root = components(links.union(_links(crossing, texts, threshold)))
 
-    reached = classes.join(root, classes.h1 == root.v, "left").select("h1", "h2", "n", "least", F.coalesce("root", "h1").alias("root"))
-    smallest = reached.groupBy("root").agg(F.min("least").alias("component"))
+    reached = staged(classes.join(root, classes.h1 == root.v, "left").select("h1", "h2", "n", "least", F.coalesce("root", "h1").alias("root")), "reached")
+    # Staged, so that a large component's part of the join can be split.
+    smallest = staged(reached.groupBy("root").agg(F.min("least").alias("component")), "smallest")
     named_classes = reached.join(smallest, "root").select("h1", "h2", "n", "component", "root")
     return sets.join(named_classes, ["h1", "h2", "n"], "left").select("rid", "did", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "root")
 
