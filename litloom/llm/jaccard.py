@@ -362,12 +362,16 @@ def similar_documents(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataF
     pairs = member.join(best, "name").groupBy(F.col("v").alias("x")).agg(F.max_by("hub", F.struct("share", "hub")).alias("hub")).filter("hub != x")
     pairs = staged(pairs, "pairs")
     links = staged(_links(pairs, texts, threshold), "links")
+    forget(pairs)
     # Then what is left between components; pairs that a hub has tried are among them only if they failed.
     sketches = staged(texts.mapInArrow(_sketches, "v long, n long, sketch binary"), "sketches")
     crossing = staged(_crossing(groups, components(links), sketches, threshold), "crossing")
+    forget(groups, sketches)
     root = components(links.union(_links(crossing, texts, threshold)))
+    forget(links, crossing, texts)
 
     reached = staged(classes.join(root, classes.h1 == root.v, "left").select("h1", "h2", "n", "least", F.coalesce("root", "h1").alias("root")), "reached")
+    forget(classes)
     # Staged, so that a large component's part of the join can be split.
     smallest = staged(reached.groupBy("root").agg(F.min("least").alias("component")), "smallest")
     named_classes = reached.join(smallest, "root").select("h1", "h2", "n", "component", "root")
