@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import hnsw, jaccard, lm, mix, pack, pipeline, quality, resample, shard, substring, suffix
+from litloom.llm import hnsw, jaccard, lm, merkle, mix, pack, pipeline, quality, resample, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_suffix_dedup": lambda spark, sf_dir: suffix.suffix_digest(_table(spark, sf_dir, "documents")),
     "op9_lm_score": lambda spark, sf_dir: lm.score_documents(_table(spark, sf_dir, "documents")),
     "op10_mix": lambda spark, sf_dir: mix.mix_digest(_table(spark, sf_dir, "documents")),
+    "op13_merkle_manifest": lambda spark, sf_dir: merkle.merkle_digest(_table(spark, sf_dir, "documents")),
     "pipeline": pipeline.run,
 }
 
