@@ -17,6 +17,11 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def run_dir(spark: SparkSession) -> str:
     """This application's own folder in the shared one; Hadoop deletes it when the driver's JVM ends."""
     path = f"{shared_dir(spark).rstrip('/')}/litloom-{spark.sparkContext.applicationId}"
