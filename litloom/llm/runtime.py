@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litloom.session import ship_package as ship  # noqa: F401
-from litloom.sources.staging import forget, release, staged, staged_bytes, staged_tables  # noqa: F401
+from litloom.sources.staging import forget, path_exists, release, run_dir, staged, staged_bytes, staged_tables  # noqa: F401
 
 #: A word is a maximal run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
