@@ -42,6 +42,7 @@ CLOSING = "sale_id long, first_day long, last_day long, n_lines long, cents long
 STREAMING = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many stores, each small
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
