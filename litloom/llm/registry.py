@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import assembly, hnsw, jaccard, lm, merkle, mix, pack, pipeline, quality, resample, shard, substring, suffix
+from litloom.llm import assembly, credentials, hnsw, jaccard, lm, merkle, mix, pack, pipeline, quality, resample, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_lm_score": lambda spark, sf_dir: lm.score_documents(_table(spark, sf_dir, "documents")),
     "op10_mix": lambda spark, sf_dir: mix.mix_digest(_table(spark, sf_dir, "documents")),
     "op11_sale_assembly": lambda spark, sf_dir: assembly.assembled_sales(_table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines")),
+    "op12_secret_scan": lambda spark, sf_dir: credentials.secrets_digest(_table(spark, sf_dir, "documents")),
     "op13_merkle_manifest": lambda spark, sf_dir: merkle.merkle_digest(_table(spark, sf_dir, "documents")),
     "pipeline": pipeline.run,
 }
