@@ -43,6 +43,10 @@ STREAMING = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many stores, each small
+    # A stopped start's stores are closed soon, and all stores of an executor share one bounded cache.
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
