@@ -43,6 +43,8 @@ class Word2VecSettings:
     vector_size: int = 100
     max_sentence_length: int = 1000
     seed: int = 42
+    #: Whether vectors are to be the same in every run (skip-gram of this library), or learnt by the engine's Word2Vec.
+    repeatable: bool = True
 
 
 @dataclass(frozen=True)

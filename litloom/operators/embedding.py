@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import replace
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
@@ -29,10 +28,8 @@ def training_bags(matches: DataFrame, ranks: Iterable[SectionRank] = SECTION_RAN
     return lists.select("pmid", F.explode(F.concat(F.col("all"), F.array(F.flatten("all")))).alias("terms"))
 
 
-def fit_word2vec(bags: DataFrame, settings: Word2VecSettings = Word2VecSettings(), deterministic: bool = False) -> Word2VecModel:
-    """Word2Vec over bags. Only one partition gives the same vectors each time; deterministic asks for that."""
-    if deterministic:
-        settings, bags = replace(settings, num_partitions=1), bags.repartition(1).sortWithinPartitions("pmid", "terms")
+def fit_word2vec(bags: DataFrame, settings: Word2VecSettings = Word2VecSettings()) -> Word2VecModel:
+    """The engine's Word2Vec over bags, whose vectors differ from run to run; skipgram.fit_skipgram gives the same ones."""
     estimator = Word2Vec(
         inputCol="terms", outputCol="vector", windowSize=settings.window_size, numPartitions=settings.num_partitions, maxIter=settings.max_iter, minCount=settings.min_count,
         stepSize=settings.step_size, vectorSize=settings.vector_size, maxSentenceLength=settings.max_sentence_length, seed=settings.seed,

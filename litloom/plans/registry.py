@@ -11,8 +11,9 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litloom.config import Word2VecSettings
 from litloom.functions import scoring, text
-from litloom.operators import embedding, evidence, grounding, index, publications, terms
+from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
 from litloom.plans.stems import stems_sql
 from litloom.plans.views import view, with_views
 from litloom.sources import tables
@@ -439,8 +440,22 @@ def training_bags(spark, sf_dir):
 
 @_query("word2vec_vectors")
 def word2vec_vectors(spark, sf_dir):
-    model = embedding.fit_word2vec(embedding.training_bags(_matches(spark, sf_dir)), deterministic=True)
-    return embedding.vector_table(embedding.model_vectors(model))
+    """Vectors of keywords learnt by many tasks; the same in every run, but for the last digits of other machines' sums."""
+    return embedding.vector_table(skipgram.fit_skipgram(embedding.training_bags(_matches(spark, sf_dir))).vectors)
+
+
+@_query(
+    "word2vec_words",
+    f"""{with_views("v_matches")}, {_RANKS}, b AS (SELECT DISTINCT pmid, rank, keywordId FROM v_matches JOIN ranks USING (section) WHERE isMapped AND type IN ('DS', 'GP', 'CD'))
+SELECT CASE WHEN starts_with(keywordId, 'ENSG') THEN 'target' WHEN starts_with(keywordId, 'CHEMBL') THEN 'drug' ELSE 'disease' END AS category, keywordId AS word, CAST(2 * count(*) AS BIGINT) AS places, 100 AS size, true AS has_direction
+FROM b GROUP BY keywordId HAVING count(*) > 0""",
+)
+def word2vec_words(spark, sf_dir):
+    """A model stored and loaded: its words, their places in the training bags (by rank, and in all), and their vectors' size."""
+    path = f"{run_dir(spark)}/word2vec_words"
+    skipgram.fit_skipgram(embedding.training_bags(_matches(spark, sf_dir)), replace(Word2VecSettings(), max_iter=1)).save(path, "overwrite")
+    words = skipgram.SkipGramModel.load(spark, path).vectors
+    return words.select(embedding.category(F.col("word")).alias("category"), "word", F.col("count").alias("places"), F.size("vector").alias("size"), (scoring.l2_norm(F.col("vector")) > 0).alias("has_direction"))
 
 
 @_query(

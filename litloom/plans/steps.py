@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from litloom import schemas
 from litloom.config import Config
-from litloom.operators import embedding, evidence, grounding, index, publications, terms
+from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
 from litloom.sources.staging import release, staged_tables
 from litloom.sources.tables import TableSpec, read_table, with_source_file, write_table
 
@@ -63,14 +63,21 @@ def embed(ctx: Context) -> None:
     bags = embedding.training_bags(ctx.read("matches"), ctx.config.section_ranks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ctx.write("trainingSet", bags)
-        writer = embedding.fit_word2vec(bags, ctx.config.word2vec).write()
-        (writer.overwrite() if ctx.config.mode == "overwrite" else writer).save(ctx.config.path("W2VModel"))
+        settings, path = ctx.config.word2vec, ctx.config.path("W2VModel")
+        if settings.repeatable:
+            skipgram.fit_skipgram(bags, settings).save(path, ctx.config.mode)
+        else:
+            writer = embedding.fit_word2vec(bags, settings).write()
+            (writer.overwrite() if ctx.config.mode == "overwrite" else writer).save(path)
     finally:
         bags.unpersist()
 
 
 def _vectors(ctx: Context) -> DataFrame:
-    return embedding.model_vectors(Word2VecModel.load(ctx.config.path("W2VModel")))
+    path = ctx.config.path("W2VModel")
+    if ctx.config.word2vec.repeatable:
+        return skipgram.SkipGramModel.load(ctx.spark, path).vectors.select("word", "vector")
+    return embedding.model_vectors(Word2VecModel.load(path))
 
 
 def vectors(ctx: Context) -> None:
