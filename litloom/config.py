@@ -62,7 +62,7 @@ class Config:
     session: Mapping[str, str] = field(default_factory=dict)
 
     INPUTS = {"epmcids": "inputs/PMID_PMCID_DOI.csv.gz", "diseases": "inputs/diseases", "targets": "inputs/targets", "drugs": "inputs/molecule", "epmc": "inputs/epmc"}
-    OUTPUTS = ("matches", "cooccurrences", "failedMatches", "failedCooccurrences", "literatureIndex", "trainingSet", "W2VModel", "vectors", "evidence")
+    OUTPUTS = ("matches", "cooccurrences", "failedMatches", "failedCooccurrences", "literatureIndex", "trainingSet", "W2VModel", "vectors", "evidence", "qualityReport", "quarantine")
 
     def path(self, name: str) -> str:
         if name in self.paths:

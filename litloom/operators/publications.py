@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -48,8 +50,8 @@ def non_ascii(text: Column) -> Column:
 
 def with_sentences(pubs: DataFrame) -> DataFrame:
     """A row for each sentence, with its fields beside the publication's; section in lower case; flags."""
-    rows = pubs.withColumn("sentence", F.explode("sentences")).drop("sentences").select("*", "sentence.*").drop("sentence")
-    return rows.withColumn("section", F.lower("section")).withColumns({"failed_section": F.col("section").isNull(), "failed_sentence": non_ascii(F.col("text"))})
+    rows = pubs.select(*(c for c in pubs.columns if c != "sentences"), F.inline("sentences"))
+    return rows.withColumns({"section": F.lower("section"), "failed_section": F.col("section").isNull(), "failed_sentence": non_ascii(F.col("text"))})
 
 
 def load_publications(pubs: DataFrame, lookup: DataFrame, unique_ids: bool = False) -> DataFrame:
@@ -61,8 +63,24 @@ def usable(sentences: DataFrame) -> DataFrame:
     return sentences.drop(*(c for c in sentences.columns if c.startswith("failed_"))).filter(F.col("pmid").isNotNull() & F.col("section").isNotNull())
 
 
+def _flags(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.startswith("failed_")]
+
+
 def quality_report(rows: DataFrame) -> DataFrame:
     """How many rows each flag is true for: (flag, rows, failed)."""
-    flags = [c for c in rows.columns if c.startswith("failed_")]
-    counts = rows.agg(F.count("*").alias("rows"), *(F.count_if(F.col(c)).alias(c) for c in flags))
-    return counts.unpivot("rows", flags, "flag", "failed").select("flag", "rows", "failed")
+    counts = rows.agg(F.count("*").alias("rows"), *(F.count_if(F.col(c)).alias(c) for c in _flags(rows)))
+    return counts.unpivot("rows", _flags(rows), "flag", "failed").select("flag", "rows", "failed")
+
+
+def observed_quality(rows: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """rows, and what gives their quality_report once something has been made of them: the flags are counted as rows pass,
+    in the job that first reads all of them, and not by a scan of their own."""
+    seen, flags = Observation(), _flags(rows)
+    watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(F.col(c)).alias(c) for c in flags))
+
+    def report() -> DataFrame:
+        found = seen.get
+        return rows.sparkSession.createDataFrame([(c, found["rows"], found[c]) for c in flags], "flag string, rows long, failed long")
+
+    return watched, report

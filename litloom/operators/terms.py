@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from litloom.functions.text import stemmed, symbol_key, symbol_tokens, transliterate, word_key, word_tokens
+from litloom.functions.porter import with_stems
+from litloom.functions.text import symbol_key, symbol_tokens, transliterate, word_key, word_tokens
 
 DISEASE, TARGET, DRUG = "DS", "GP", "CD"
 WORDS, SYMBOL = "LT", "TT"
@@ -40,14 +41,21 @@ def all_terms(diseases: DataFrame, targets: DataFrame, drugs: DataFrame) -> Data
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def word_keys(texts: DataFrame) -> DataFrame:
+    """text, key of each distinct text (texts: text), by the stems of its words; texts without a word have no row."""
+    tokens = texts.distinct().select("text", F.explode(F.array_distinct(word_tokens(F.col("text")))).alias("token"))
+    stems = with_stems(tokens.select("token").distinct())
+    return tokens.join(stems, "token").groupBy("text").agg(word_key(F.collect_set("stem")).alias("key"))
+
+
 def with_key(df: DataFrame, text: str, key_type: str = "keyType", stem: bool = True) -> DataFrame:
     """df with labelN, the key of the text by its kind; rows whose key is empty go."""
-    words = word_tokens(F.col(text))
+    words, keyed = word_key(word_tokens(F.col(text))), df
     if stem:
-        df = df.withColumn("__stems", stemmed(words))
-        words = F.col("__stems")
-    key = F.when(F.col(key_type) == WORDS, word_key(words)).when(F.col(key_type) == SYMBOL, symbol_key(symbol_tokens(F.col(text))))
-    return df.withColumn("labelN", key).drop("__stems").filter(F.col("labelN").isNotNull())
+        keys = word_keys(df.filter(F.col(key_type) == WORDS).select(F.col(text).alias("text")))
+        keyed, words = df.join(keys.select(F.col("text").alias("__of"), F.col("key").alias("__words")), (F.col(text) == F.col("__of")) & (F.col(key_type) == WORDS), "left"), F.col("__words")
+    key = F.when(F.col(key_type) == WORDS, words).when(F.col(key_type) == SYMBOL, symbol_key(symbol_tokens(F.col(text))))
+    return keyed.withColumn("labelN", key).drop("__of", "__words").filter(F.col("labelN").isNotNull())
 
 
 def _within_key():

@@ -11,13 +11,14 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litloom import schemas
 from litloom.config import Word2VecSettings
-from litloom.functions import scoring, text
+from litloom.functions import porter, scoring, text
 from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
 from litloom.plans.stems import stems_sql
 from litloom.plans.views import view, with_views
 from litloom.sources import tables
-from litloom.sources.staging import run_dir, staged
+from litloom.sources.staging import forget, run_dir, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,6 +96,39 @@ def quality_report(spark, sf_dir):
     return publications.quality_report(_sentences(spark, sf_dir))
 
 
+@_query("observed_quality", ORACLE_SQL["quality_report"])
+def observed_quality(spark, sf_dir):
+    """The report from counts that are taken while the usable sentences are written."""
+    rows, report = publications.observed_quality(_sentences(spark, sf_dir))
+    forget(staged(publications.usable(rows), "sentences"))
+    return report()
+
+
+@_query("gzip_csv_ids", ORACLE_SQL["id_lut"])
+def gzip_csv_ids(spark, sf_dir):
+    """The identifier lookup from compressed CSV with a header, read by a given schema."""
+    path = f"{run_dir(spark)}/gzip_csv_ids"
+    view(spark, sf_dir, "v_epmcids").write.mode("overwrite").csv(path, header=True, compression="gzip")
+    return publications.id_lookup(tables.read_table(spark, tables.TableSpec(path, "csv", {"header": "true"}, schema=schemas.EPMC_IDS)))
+
+
+@_query(
+    "malformed_records",
+    """SELECT CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN 'quarantine' ELSE 'read' END AS output,
+concat('{"doc_id":', CAST(doc_id AS VARCHAR), ',"n_chars":', CASE WHEN doc_id % 11 = 0 THEN '"many"' ELSE CAST(n_chars AS VARCHAR) END, CASE WHEN doc_id % 7 = 0 THEN '' ELSE '}' END) AS record FROM documents""",
+)
+def malformed_records(spark, sf_dir):
+    """JSON lines of which some are cut off, and some hold text for a number: what is read, and what is set aside."""
+    path, rows = f"{run_dir(spark)}/malformed_records", _table(spark, sf_dir, "documents")
+    number = F.when(F.col("doc_id") % 11 == 0, '"many"').otherwise(F.col("n_chars").cast("string"))
+    line = F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"n_chars":'), number, F.when(F.col("doc_id") % 7 == 0, "").otherwise("}"))
+    rows.select(line.alias("value")).write.mode("overwrite").text(path)
+    records = tables.read_records(spark, tables.TableSpec(path, schema=rows.select("doc_id", "n_chars").schema))
+    good = records.filter(F.col(tables.CORRUPT).isNull()).select(F.lit("read").alias("output"), F.to_json(F.struct("doc_id", "n_chars")).alias("record"))
+    bad = tables.quarantined(records).filter(F.col("trace_source").contains("malformed_records"))
+    return good.union(bad.select(F.lit("quarantine"), "record"))
+
+
 @_query("sentence_filter", f"{_SENTENCES} SELECT pmid, pmcid, section, text FROM s WHERE pmid IS NOT NULL AND section IS NOT NULL")
 def sentence_filter(spark, sf_dir):
     return publications.usable(_sentences(spark, sf_dir)).select("pmid", "pmcid", "section", "text")
@@ -147,7 +181,8 @@ x AS (SELECT doc_id, i, ts[i] AS t FROM (SELECT doc_id, ts, unnest(range(1, len(
 SELECT doc_id, coalesce(stems, '') AS stems FROM d LEFT JOIN s USING (doc_id)""",
 )
 def stem_tokens(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.stemmed(text.word_tokens(F.col("text"))), " ").alias("stems"))
+    tokens = _table(spark, sf_dir, "documents").select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
+    return porter.stem_tokens(tokens, "tokens", ["doc_id"]).select("doc_id", F.array_join("tokens", " ").alias("stems"))
 
 
 @_query("keys_tt", f"{with_views('v_terms')}, k AS (SELECT keywordId, type, text, {_tt_key_sql('text')} AS labelN FROM v_terms WHERE keyType = 'TT') SELECT * FROM k WHERE labelN <> ''")

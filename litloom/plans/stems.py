@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-#: A run of consonants, and one of vowels; a y after a consonant is a vowel, and one that comes first is written Y.
-_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
-_SOME, _MORE, _ONE = f"^({_C})?{_V}{_C}", f"^({_C})?{_V}{_C}{_V}{_C}", f"^({_C})?{_V}{_C}({_V})?$"
-_VOWEL, _SHORT = f"^({_C})?[aeiouy]", f"^{_C}[aeiouy][^aeiouwxy]$"
-#: The suffixes of steps 2, 3 and 4, and what takes the place of those of 2 and 3.
-_SECOND = "ational ate,tional tion,enci ence,anci ance,izer ize,abli able,alli al,entli ent,eli e,ousli ous,ization ize,ation ate,ator ate,alism al,iveness ive,fulness ful,ousness ous,aliti al,iviti ive,biliti ble"
-_THIRD = "icate ic,ative ,alize al,iciti ic,ical ic,ful ,ness "
-_FOURTH = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+from litloom.functions.porter import FOURTH as _FOURTH
+from litloom.functions.porter import MORE as _MORE
+from litloom.functions.porter import ONE as _ONE
+from litloom.functions.porter import SECOND as _SECOND
+from litloom.functions.porter import SHORT as _SHORT
+from litloom.functions.porter import SOME as _SOME
+from litloom.functions.porter import THIRD as _THIRD
+from litloom.functions.porter import WITH_VOWEL as _VOWEL
 
 
 def _is(c: str, pattern: str) -> str:

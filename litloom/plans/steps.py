@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import Word2VecModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from litloom import schemas
 from litloom.config import Config
 from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
 from litloom.sources.staging import release, staged_tables
-from litloom.sources.tables import TableSpec, read_table, with_source_file, write_table
+from litloom.sources.tables import CORRUPT, TableSpec, quarantined, read_records, read_table, with_source_file, write_table
 
 log = logging.getLogger(__name__)
 
@@ -41,10 +42,17 @@ class Context:
 def processing(ctx: Context) -> None:
     lookup = publications.id_lookup(ctx.read("epmcids", format="csv", options={"header": "true"}, schema=schemas.EPMC_IDS))
     diseases, targets, drugs = (ctx.read(n, format="parquet") for n in ("diseases", "targets", "drugs"))
-    pubs = with_source_file(ctx.read("epmc", format="json", options={"recursiveFileLookup": "true"}, schema=schemas.PUBLICATIONS))
+    source = TableSpec(ctx.config.path("epmc"), "json", {"recursiveFileLookup": "true"}, schema=schemas.PUBLICATIONS)
+    records, seen = read_records(ctx.spark, source), Observation()
+    pubs = with_source_file(records.observe(seen, F.count(CORRUPT).alias("broken"))).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     entities = terms.entity_lookup(terms.all_terms(diseases, targets, drugs))
     before = staged_tables(ctx.spark)
-    found = grounding.ground(publications.usable(publications.load_publications(pubs, lookup)), entities)
+    sentences, report = publications.observed_quality(publications.load_publications(pubs, lookup))
+    found = grounding.ground(publications.usable(sentences), entities)
+    ctx.write("qualityReport", report())
+    if seen.get["broken"]:  # only then are the records read once more, for the lines themselves
+        log.warning("%d broken records", seen.get["broken"])
+        ctx.write("quarantine", quarantined(records))
     # Each of the two is read by more than one output; narrow rows, kept on disk.
     matches, coocs = (df.persist(StorageLevel.DISK_ONLY) for df in (found.matches, found.cooccurrences))
     try:

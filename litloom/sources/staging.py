@@ -33,12 +33,12 @@ def run_dir(spark: SparkSession) -> str:
     return path
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """df written as a table in the shared folder and read back."""
+def staged(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
+    """df written as a table in the shared folder, in folders by the columns partition_by, and read back."""
     spark = df.sparkSession
     folder = run_dir(spark)
     path = f"{folder}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     _tables[folder].add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path

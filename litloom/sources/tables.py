@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Where a reader of records puts a line that is none.
+CORRUPT = "_corrupt_record"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Where a table is and how it is read or written."""
@@ -30,6 +34,26 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return reader.load(spec.path)
 
 
+def read_records(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """JSON lines by spec's schema, with a column more, CORRUPT: the whole line where it is no record, else null.
+
+    A line that can't be parsed, or holds a field of another type, doesn't end the run; its other columns hold what could be
+    read, if anything.
+    """
+    schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {**spec.options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return read_table(spark, replace(spec, format="json", options=options, schema=schema))
+
+
+def quarantined(records: DataFrame) -> DataFrame:
+    """trace_source, record, parsed: the broken lines of read_records, their files, and as JSON what could be read of them.
+
+    All columns are asked for, as the reader doesn't look for what is wrong with others.
+    """
+    parsed = F.to_json(F.struct(*(c for c in records.columns if c != CORRUPT))).alias("parsed")
+    return with_source_file(records).select("trace_source", F.col(CORRUPT).alias("record"), parsed).filter("record is not null and parsed is not null")
+
+
 def read_tables(spark: SparkSession, specs: Mapping[str, TableSpec]) -> dict[str, DataFrame]:
     return {name: read_table(spark, spec) for name, spec in specs.items()}
 

@@ -67,7 +67,7 @@ def test_all_steps_end_to_end(spark, tmp_path):
         ]
         pubs.append({"pmid": str(i + 1), "pmcid": None, "pubDate": "2020-02-03", "organisms": [], "sentences": sentences})
     (base / "inputs/epmc/deep").mkdir(parents=True)
-    (base / "inputs/epmc/deep/p.json").write_text("\n".join(map(json.dumps, pubs)))
+    (base / "inputs/epmc/deep/p.json").write_text("\n".join([*map(json.dumps, pubs), '{"pmid": "77", "sentences": [{"section"', '{"pmid": "78", "sentences": 5}']))
     with gzip.open(base / "inputs/PMID_PMCID_DOI.csv.gz", "wt") as f:
         f.write("PMID,PMCID\n1,PMC1\n99,PMC99\n")
     for name, row, schema in (("diseases", ("EFO_1", "lung cancer", (None, None, None, None)), schemas.DISEASES), ("targets", ("ENSG1", "tumor protein", "TP53", [], [], [], [], []), schemas.TARGETS), ("molecule", ("CHEMBL1", "aspirin", [], []), schemas.DRUGS)):
@@ -77,6 +77,10 @@ def test_all_steps_end_to_end(spark, tmp_path):
     read = lambda name: spark.read.json(settings.path(name))
     assert read("matches").count() == 22 and read("failedMatches").count() == 11  # record 1 has a full-text twin
     assert read("literatureIndex").filter("keywordId = 'EFO_1'").count() == 11 and read("vectors").count() == 2
+    broken = read("quarantine").collect()
+    assert sorted(r.record[:13] for r in broken) == ['{"pmid": "77"', '{"pmid": "78"'] and all(r.trace_source.endswith("deep/p.json") for r in broken)
+    report = {r.flag: (r.rows, r.failed) for r in read("qualityReport").collect()}
+    assert report["failed_pmid"] == (22, 0) and report["failed_pmcid"] == (22, 22) and len(report) == 8
     (row,) = read("evidence").collect()
     assert (row.targetFromSourceId, row.diseaseFromSourceMappedId, row.sharedPublicationCount, row.cooccurredPublicationCount) == ("ENSG1", "EFO_1", 11, 11)
     assert row.harmonicCooccurrenceSentiment == pytest.approx(0.7 * sum(1 / k**2 for k in range(1, 12)))
