@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,7 +44,8 @@ def _byte_of() -> dict[str, int]:
 
 
 def encoder(path: str) -> Callable[[str], bytes]:
-    """A text to its ids as little-endian unsigned 32-bit integers, by the tokenizer file at path.
+    """Ordinary text to its ids as little-endian unsigned 32-bit integers, by the tokenizer file at path; what reads like one
+    of its added tokens is ordinary text here.
 
     A byte-level BPE file whose ids are in the order of its merges is read as ranks, which a faster library
     merges by and gives the same ids; any other file is left to its own library. One for each worker and file.
@@ -96,6 +98,37 @@ def encoder(path: str) -> Callable[[str], bytes]:
     return _encoders.setdefault(path, encode)
 
 
+@lru_cache(maxsize=8)
+def text_encoder(path: str) -> Callable[[str], bytes]:
+    """As encoder(), but for any text: the file's added tokens, such as an end of text, are their own ids wherever they stand.
+
+    A text is cut at these first, the longest that starts at a place, and what lies between is encoded by itself. Added
+    tokens that take in spaces, or ask for word bounds, leave the whole text to the tokenizer's own library.
+    """
+    import json
+
+    import numpy as np
+
+    with open(path, encoding="utf-8") as f:
+        added = {t["content"]: t for t in json.load(f).get("added_tokens", ())}
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added.values()):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    plain = encoder(path)
+    if not added:
+        return plain
+    mark = re.compile("(" + "|".join(re.escape(c) for c in sorted(added, key=lambda c: (-len(c), c))) + ")")
+    ids = {c: np.array([t["id"]], "<u4").tobytes() for c, t in added.items()}
+
+    def encode(text: str) -> bytes:
+        parts = mark.split(text)
+        return plain(text) if len(parts) == 1 else b"".join(ids[x] if i % 2 else plain(x) for i, x in enumerate(parts) if x)
+
+    return encode
+
+
 def lengths(n: int, most: int = MAX_TOKENS) -> list[int]:
     """n as pieces: as many of `most` as fit, then the powers of two of the rest, the largest first."""
     return [most] * (n // most) + [1 << k for k in range(most.bit_length() - 1, -1, -1) if n % most >> k & 1]
@@ -114,7 +147,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str | None = None, most: int = MAX
     ship(docs.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = text_encoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

@@ -198,7 +198,6 @@ def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(pack.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     pieces = {}
     for r in pack.packed_pieces(docs).collect():
         pieces.setdefault(r.doc_id, []).append(r)
@@ -217,9 +216,9 @@ def test_encoder_agrees_on_odd_texts():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(pack.default_tokenizer())
-    tokenizer.encode_special_tokens = True
-    encode = pack.encoder(pack.default_tokenizer())
-    for text in ["", " ", "  a  b", "a\n b", "it's  \n\n x", "a  b", "<|endoftext|> x", "é è　c", "don 't", "x" * 3000, prose(40_000, 3), "\x1c a \x85b"]:
+    encode = pack.text_encoder(pack.default_tokenizer())
+    end = "<|endoftext|>"
+    for text in [end, f"{end}a", f"a {end} b", f"a{end}", f"a {end}{end} {end}", f"{end[:-1]}{end}", f"x  {end}\n\n y {end[1:]}", prose(30_000, 5) + end + " " + prose(90_000, 6) + f" {end}", "", " ", "  a  b", "a\n b", "it's  \n\n x", "a  b", "<|endoftext|> x", "é è　c", "don 't", "x" * 3000, prose(40_000, 3), "\x1c a \x85b"]:
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -228,8 +227,23 @@ def test_encoder_gets_through_long_white_space(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(pack.default_tokenizer())
-    tokenizer.encode_special_tokens = True
-    assert np.frombuffer(pack.encoder(pack.default_tokenizer())(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(pack.text_encoder(pack.default_tokenizer())(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_that_take_in_spaces(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(pack.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    own = spec["added_tokens"][0]
+    for more in ([], [own | {"id": 50257, "content": "<|end"}], [own | {"id": 50257, "content": "<pad>", "lstrip": True}]):
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        path.write_text(json.dumps(spec | {"added_tokens": [own, *more] if more else []}))
+        encode, tokenizer = pack.text_encoder(str(path)), Tokenizer.from_file(str(path))
+        for text in ("a <|endoftext|> b <|end c  <pad> d", "<pad>", ""):
+            assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_sequences_are_written_by_bucket(spark, docs, tmp_path):

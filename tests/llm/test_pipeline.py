@@ -97,7 +97,6 @@ def check_stages(spark, sf_dir, docs):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(pack.default_tokenizer())
-            tokenizer.encode_special_tokens = True
             wanted = sorted((str(r.doc_id), [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in before)
             made, held = [], []
             for r in sorted(rows, key=lambda r: r.sequence_id & (2**59 - 1)):  # in the order of the scan
