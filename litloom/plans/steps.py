@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import Word2VecModel
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from litloom import schemas
 from litloom.config import Config
 from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
+from litloom.sources.publishing import Manifest, fingerprint, publish, state
 from litloom.sources.staging import release, staged_tables
 from litloom.sources.tables import CORRUPT, TableSpec, quarantined, read_records, read_table, with_source_file, write_table
 
@@ -27,6 +28,10 @@ class Context:
     spark: SparkSession
     config: Config
     made: dict[str, DataFrame] = field(default_factory=dict)
+    #: Whether outputs that an earlier run has finished from the same inputs and settings are left as they are.
+    resume: bool = False
+    #: What outputs of the step now running are made from.
+    of: str = ""
 
     def read(self, name: str, **more) -> DataFrame:
         """A table that an earlier step of this run made, or else what is stored under its name."""
@@ -34,12 +39,31 @@ class Context:
             return self.made[name]
         return read_table(self.spark, TableSpec(self.config.path(name), more.pop("format", self.config.output_format), **more))
 
-    def write(self, name: str, df: DataFrame, format: str | None = None) -> None:
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, f"{self.config.base}/output/{self.config.output_format}/_finished")
+
+    def pending(self, *names: str) -> bool:
+        """Whether one of these outputs is still to be made."""
+        return not self.resume or not all(self.manifest.finished(n, self.config.path(n), self.of) for n in names)
+
+    def put(self, name: str, write: Callable[[str], None]) -> None:
+        """An output as write makes it at the path it is given: published whole, and entered as finished."""
+        path = self.config.path(name)
+        if self.resume and self.manifest.finished(name, path, self.of):
+            log.info("%s is finished", name)
+            return
         log.info("writing %s", name)
-        write_table(df, TableSpec(self.config.path(name), format or self.config.output_format, mode=self.config.mode))
+        publish(self.spark, path, write, self.config.mode)
+        self.manifest.finish(name, path, self.of)
+
+    def write(self, name: str, df: DataFrame, format: str | None = None) -> None:
+        self.put(name, lambda path: write_table(df, TableSpec(path, format or self.config.output_format)))
 
 
 def processing(ctx: Context) -> None:
+    if not ctx.pending("qualityReport", "failedMatches", "failedCooccurrences", "matches", "cooccurrences", "literatureIndex"):
+        return
     lookup = publications.id_lookup(ctx.read("epmcids", format="csv", options={"header": "true"}, schema=schemas.EPMC_IDS))
     diseases, targets, drugs = (ctx.read(n, format="parquet") for n in ("diseases", "targets", "drugs"))
     source = TableSpec(ctx.config.path("epmc"), "json", {"recursiveFileLookup": "true"}, schema=schemas.PUBLICATIONS)
@@ -68,15 +92,14 @@ def processing(ctx: Context) -> None:
 
 
 def embed(ctx: Context) -> None:
+    if not ctx.pending("trainingSet", "W2VModel"):
+        return
     bags = embedding.training_bags(ctx.read("matches"), ctx.config.section_ranks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ctx.write("trainingSet", bags)
-        settings, path = ctx.config.word2vec, ctx.config.path("W2VModel")
-        if settings.repeatable:
-            skipgram.fit_skipgram(bags, settings).save(path, ctx.config.mode)
-        else:
-            writer = embedding.fit_word2vec(bags, settings).write()
-            (writer.overwrite() if ctx.config.mode == "overwrite" else writer).save(path)
+        settings = ctx.config.word2vec
+        fit = (lambda path: skipgram.fit_skipgram(bags, settings).save(path)) if settings.repeatable else (lambda path: embedding.fit_word2vec(bags, settings).save(path))
+        ctx.put("W2VModel", fit)
     finally:
         bags.unpersist()
 
@@ -89,13 +112,17 @@ def _vectors(ctx: Context) -> DataFrame:
 
 
 def vectors(ctx: Context) -> None:
-    ctx.write("vectors", embedding.vector_table(_vectors(ctx)))
+    if ctx.pending("vectors"):
+        ctx.write("vectors", embedding.vector_table(_vectors(ctx)))
 
 
 def pair_evidence(ctx: Context) -> None:
-    ctx.write("evidence", evidence.generate_evidence(ctx.read("matches"), ctx.read("cooccurrences"), _vectors(ctx), ctx.config.threshold, ctx.config.section_ranks))
+    if ctx.pending("evidence"):
+        ctx.write("evidence", evidence.generate_evidence(ctx.read("matches"), ctx.read("cooccurrences"), _vectors(ctx), ctx.config.threshold, ctx.config.section_ranks))
 
 
+#: What each step reads, in its inputs and in earlier steps' outputs.
+READS = {"processing": ("epmcids", "diseases", "targets", "drugs", "epmc"), "embedding": ("matches",), "vectors": ("W2VModel",), "evidence": ("matches", "cooccurrences", "W2VModel")}
 STEPS: dict[str, Callable[[Context], None]] = {"processing": processing, "embedding": embed, "vectors": vectors, "evidence": pair_evidence}
 
 
@@ -108,6 +135,11 @@ def resolve(names: Iterable[str]) -> list[str]:
 
 
 def run_steps(ctx: Context, names: Iterable[str]) -> None:
+    """Runs steps in their order. Each output appears whole, or not at all; of a run that was cut off, one with resume leaves
+    what is finished and makes the rest, as long as inputs, earlier outputs and settings are the same. One run at a time
+    writes to a base."""
     for name in resolve(names):
         log.info("step %s", name)
+        settings = replace(ctx.config, paths={}, session={}, mode="")
+        ctx.of = fingerprint(name, settings, *(f"{ctx.config.path(x)} {state(ctx.spark, ctx.config.path(x))}" for x in READS[name]))
         STEPS[name](ctx)

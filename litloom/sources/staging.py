@@ -12,13 +12,14 @@ from litloom.session import shared_dir
 _tables: dict[str, set[str]] = {}
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of path, and path as one of its own."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     return files.exists(place)
 
 
@@ -27,7 +28,7 @@ def run_dir(spark: SparkSession) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/litloom-{spark.sparkContext.applicationId}"
     if path not in _tables:
         _tables[path] = set()
-        files, place = _file_system(spark, path)
+        files, place = file_system(spark, path)
         files.mkdirs(place)
         files.deleteOnExit(place)
     return path
@@ -47,14 +48,14 @@ def staged(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
 
 def staged_bytes(table: DataFrame) -> int:
     """Bytes of a staged table's files."""
-    files, place = _file_system(table.sparkSession, table.staged_at)
+    files, place = file_system(table.sparkSession, table.staged_at)
     return files.getContentSummary(place).getLength()
 
 
 def forget(*tables: DataFrame) -> None:
     """Deletes staged tables that no plan still to be run reads."""
     for table in tables:
-        files, place = _file_system(table.sparkSession, table.staged_at)
+        files, place = file_system(table.sparkSession, table.staged_at)
         files.delete(place, True)
         _tables[run_dir(table.sparkSession)].discard(table.staged_at)
 
@@ -67,6 +68,6 @@ def staged_tables(spark: SparkSession) -> set[str]:
 def release(spark: SparkSession, before: set[str], *keep: DataFrame) -> None:
     """Deletes what was staged since staged_tables() gave `before`, but for keep; for when a result has been written."""
     for path in staged_tables(spark) - before - {t.staged_at for t in keep}:
-        files, place = _file_system(spark, path)
+        files, place = file_system(spark, path)
         files.delete(place, True)
         _tables[run_dir(spark)].discard(path)

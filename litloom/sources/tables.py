@@ -59,7 +59,12 @@ def read_tables(spark: SparkSession, specs: Mapping[str, TableSpec]) -> dict[str
 
 
 def write_table(df: DataFrame, spec: TableSpec) -> None:
-    writer = df.write.format(spec.format).options(**spec.options).mode(spec.mode)
+    """df at spec's path; of mode overwrite_partitions only the partitions that df has rows of are replaced."""
+    writer = df.write.format(spec.format).options(**spec.options)
+    if spec.mode == "overwrite_partitions":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(spec.mode)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     writer.save(spec.path)

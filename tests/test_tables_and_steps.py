@@ -1,3 +1,4 @@
+import dataclasses
 import gzip
 import json
 
@@ -5,8 +6,9 @@ import pytest
 from pyspark.sql.types import StructType
 
 from litloom import config, schemas
+from litloom.plans import steps
 from litloom.plans.steps import Context, resolve, run_steps
-from litloom.sources import tables
+from litloom.sources import publishing, tables
 from litloom.streaming import publications as stream
 
 
@@ -58,8 +60,8 @@ def test_steps_are_known():
         resolve(["x"])
 
 
-def test_all_steps_end_to_end(spark, tmp_path):
-    base, pubs = tmp_path, []
+def inputs(spark, base):
+    pubs = []
     for i in range(12):
         sentences = [
             {"section": "Title", "text": "t", "matches": [{"label": "lung cancers", "type": "DS", "startInSentence": 0, "endInSentence": 5, "sectionStart": 0, "sectionEnd": 5}, {"label": "TP-53", "type": "GP"}], "co-occurrence": [{"label1": "TP-53", "label2": "lung cancers", "type": "GP-DS", "sentEvidenceScore": 7.0}]},
@@ -72,6 +74,11 @@ def test_all_steps_end_to_end(spark, tmp_path):
         f.write("PMID,PMCID\n1,PMC1\n99,PMC99\n")
     for name, row, schema in (("diseases", ("EFO_1", "lung cancer", (None, None, None, None)), schemas.DISEASES), ("targets", ("ENSG1", "tumor protein", "TP53", [], [], [], [], []), schemas.TARGETS), ("molecule", ("CHEMBL1", "aspirin", [], []), schemas.DRUGS)):
         spark.createDataFrame([row], schema).write.parquet(str(base / "inputs" / name))
+
+
+def test_all_steps_end_to_end(spark, tmp_path):
+    base = tmp_path
+    inputs(spark, base)
     settings = config.load(base=str(base), threshold=-2.0, word2vec={"num_partitions": 1, "vector_size": 8})
     run_steps(Context(spark, settings), ["all"])
     read = lambda name: spark.read.json(settings.path(name))
@@ -86,6 +93,59 @@ def test_all_steps_end_to_end(spark, tmp_path):
     assert row.harmonicCooccurrenceSentiment == pytest.approx(0.7 * sum(1 / k**2 for k in range(1, 12)))
 
 
+def test_a_killed_step_resumes(spark, tmp_path, monkeypatch):
+    inputs(spark, tmp_path)
+    settings = config.load(base=str(tmp_path), output_format="parquet")
+    out, made = tmp_path / "output/parquet", []
+    real = steps.write_table
+
+    def dies(df, spec):
+        if "literatureIndex" in spec.path:
+            spec = dataclasses.replace(spec, mode="append")
+            real(df.limit(1), spec)
+            raise KeyboardInterrupt
+        made.append(spec.path.rpartition("/")[2].partition(".")[0])
+        real(df, spec)
+
+    monkeypatch.setattr(steps, "write_table", dies)
+    with pytest.raises(KeyboardInterrupt):
+        run_steps(Context(spark, settings), ["processing"])
+    assert not (out / "literatureIndex").exists() and (out / "matches").exists() and list(out.glob("literatureIndex.__part-*"))
+    monkeypatch.setattr(steps, "write_table", lambda df, spec: (made.append(spec.path.rpartition("/")[2].partition(".")[0]), real(df, spec)))
+    with pytest.raises(FileExistsError):
+        run_steps(Context(spark, settings), ["processing"])
+    made.clear()
+    run_steps(Context(spark, settings, resume=True), ["processing"])
+    assert [n for n in made if n != "quarantine"] == ["literatureIndex"] and not list(out.glob("*.__*"))
+    assert spark.read.parquet(str(out / "literatureIndex")).filter("keywordId = 'EFO_1'").count() == 11
+    made.clear()
+    run_steps(Context(spark, settings, resume=True), ["processing"])
+    assert made == []
+    with pytest.raises(FileExistsError):  # other settings make other outputs
+        run_steps(Context(spark, dataclasses.replace(settings, threshold=0.5), resume=True), ["processing"])
+
+
+def test_published_whole_or_not_at_all(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.range(3)
+    publishing.publish(spark, path, df.write.parquet)
+    with pytest.raises(FileExistsError):
+        publishing.publish(spark, path, df.write.parquet)
+    publishing.publish(spark, path, None, "ignore")
+    publishing.publish(spark, path, spark.range(5).write.parquet, "overwrite")
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    (tmp_path / "t").rename(tmp_path / "t.__old-1")  # cut off between the two renames
+    (tmp_path / "t.__part-2").mkdir()
+    publishing.clean(spark, path)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_only_partitions_with_rows_are_replaced(spark, tmp_path):
+    spec = tables.TableSpec(str(tmp_path / "t"), partition_by=("k",), mode="overwrite_partitions")
+    tables.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "n int, k string"), spec)
+    tables.write_table(spark.createDataFrame([(3, "b"), (4, "c")], "n int, k string"), spec)
+    assert sorted(map(tuple, spark.read.parquet(spec.path).collect())) == [(1, "a"), (3, "b"), (4, "c")]
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text(json.dumps({"pmid": "5", "pmcid": None, "pubDate": "2020", "organisms": [], "sentences": [{"section": "Title", "text": "x", "matches": [], "co-occurrence": []}]}))
