@@ -47,6 +47,7 @@ STREAMING = {
     "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",  # a file less for each store and batch
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
@@ -65,12 +66,28 @@ def _crc(text: Column) -> Column:
     return F.crc32(text.cast("binary"))
 
 
-def line_events(lines: DataFrame) -> DataFrame:
-    """EVENT rows of distinct lines with a sale_id. A null line_no reads as no digits."""
+def _batch(day: Column, n_batches: int, days: int) -> Column:
+    return F.least(F.greatest(F.floor((day - FIRST_DAY) * n_batches / days), F.lit(0)), F.lit(n_batches - 1)).cast("int")
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """rows, with their batch, shuffled so that a batch lies in some tasks and not in all, whose files are few."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in by)), 1 + 2 * tasks // BATCHES)
+    return rows.withColumn("_some", some).repartition("_batch", "_some")
+
+
+def line_events(lines: DataFrame, n_batches: int = BATCHES, days: int = DAYS) -> DataFrame:
+    """EVENT rows, and their batch, of distinct lines with a sale_id. A null line_no reads as no digits.
+
+    Equal lines are of one batch and task, so the shuffle by batch is the one that finds them too.
+    """
     h = _crc(F.concat(F.col("sale_id").cast("string"), F.lit(":"), F.coalesce(F.col("line_no").cast("string"), F.lit(""))))
     day = F.coalesce(_day("shipped_at") + h % 4, FIRST_DAY + h % 152)
-    own = lines.filter(F.col("sale_id").isNotNull()).distinct()
-    return own.select(F.col("sale_id").cast("long").alias("sale_id"), day.alias("day"), F.lit(1).cast("long").alias("n_lines"), _cents("amount").alias("cents"), F.lit(0).cast("long").alias("n_sales"), F.lit(NO_DUE).cast("long").alias("due"))
+    own = lines.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(lines.columns)), F.col("sale_id").cast("long").alias("sale"), day.alias("on"), _cents("amount").alias("paid")).filter("sale is not null")
+    distinct = _dealt(own.withColumn("_batch", _batch(F.col("on"), n_batches, days)), *own.columns).distinct()
+    zero = F.lit(0).cast("long")
+    return distinct.select(F.col("sale").alias("sale_id"), F.col("on").alias("day"), F.lit(1).cast("long").alias("n_lines"), F.col("paid").alias("cents"), zero.alias("n_sales"), F.lit(NO_DUE).cast("long").alias("due"), F.col("_batch").alias("batch"))
 
 
 def sale_events(sales: DataFrame, line_events: DataFrame) -> DataFrame:
@@ -88,18 +105,21 @@ def sale_events(sales: DataFrame, line_events: DataFrame) -> DataFrame:
 
 
 def write_batches(sales: DataFrame, lines: DataFrame, folder: str, n_batches: int = BATCHES, days: int = DAYS) -> None:
-    """Events under folder/batch=0 to batch=n_batches-1 by arrival day, batches without events as a file without rows;
-    then batch=n_batches, which holds the sentinel, and batch=n_batches+1, which is empty."""
+    """Events under folder/batch=0 to batch=n_batches-1 by arrival day, batches without events as a file without rows.
+
+    The last one also holds the sentinel, an event after all days, whose watermark comes to be that of batch=n_batches, an
+    empty one, where every timer that is left fires.
+    """
     spark = sales.sparkSession
-    batch = F.least(F.greatest(F.floor((F.col("day") - FIRST_DAY) * n_batches / days), F.lit(0)), F.lit(n_batches - 1)).cast("int")
-    line_events(lines).withColumn("batch", batch).write.partitionBy("batch").parquet(folder)
+    line_events(lines, n_batches, days).write.partitionBy("batch").parquet(folder)
     arrived = spark.read.schema(EVENT).parquet(folder)
-    sale_events(sales, arrived).withColumn("batch", batch).write.mode("append").partitionBy("batch").parquet(folder)
+    sold = sale_events(sales, arrived).withColumn("_batch", _batch(F.col("day"), n_batches, days))
+    _dealt(sold, "sale_id").drop("_some").withColumnRenamed("_batch", "batch").write.mode("append").partitionBy("batch").parquet(folder)
     for k in range(n_batches):
         if not path_exists(spark, f"{folder}/batch={k}"):
             spark.createDataFrame([], EVENT).write.parquet(f"{folder}/batch={k}")
-    spark.createDataFrame([(0, LAST_DAY, 0, 0, 0, NO_DUE)], EVENT).coalesce(1).write.parquet(f"{folder}/batch={n_batches}")
-    spark.createDataFrame([], EVENT).write.parquet(f"{folder}/batch={n_batches + 1}")
+    spark.createDataFrame([(0, LAST_DAY, 0, 0, 0, NO_DUE)], EVENT).coalesce(1).write.mode("append").parquet(f"{folder}/batch={n_batches - 1}")
+    spark.createDataFrame([], EVENT).write.parquet(f"{folder}/batch={n_batches}")
 
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +243,8 @@ def assembled_sales(sales: DataFrame, lines: DataFrame, n_batches: int = BATCHES
 
     The events are written in n_batches by day, and fed in order to one query, which is started again for each of them
     on one checkpoint; a start that fails may be repeated, as sources, state and results are all committed by batch.
-    Two starts more, on a sentinel that lifts the watermark over all days and on an empty file, close what is left, as
-    part of the last batch. Rows with null sale_ids are left out. Of equal lines one counts; of sales of one id each
+    One start more, on an empty batch after the sentinel that the last one ends with, closes what is left, as part of the
+    last batch. Rows with null sale_ids are left out. Of equal lines one counts; of sales of one id each
     counts, and in one assembly the largest due holds. Null amounts, and such as aren't finite, are 0 cents. No events,
     no closings. Columns that aren't used only count for which lines are equal.
     """
@@ -234,7 +254,7 @@ def assembled_sales(sales: DataFrame, lines: DataFrame, n_batches: int = BATCHES
     write_batches(sales, lines, f"{folder}/feed", n_batches)
     n_keys = 1 + spark.read.schema(EVENT).parquet(f"{folder}/feed").count() // rows_per_key
     with _settings(spark, STREAMING):
-        for k in range(n_batches + 2):
+        for k in range(n_batches + 1):
             # A start lists the batches before too, which the checkpoint knows as read.
             fed = ",".join(map(str, range(k + 1)))
             events = spark.readStream.schema(EVENT).parquet(f"{folder}/feed/batch={{{fed}}}")
