@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litloom.llm import assembly, credentials, hnsw, jaccard, lm, merkle, mix, pack, pipeline, quality, resample, shard, substring, suffix
+from litloom.llm import assembly, credentials, hnsw, jaccard, lm, merkle, mix, oracles, pack, pipeline, quality, resample, shard, substring, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +25,16 @@ QUERIES = {
     "op11_sale_assembly": lambda spark, sf_dir: assembly.assembled_sales(_table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines")),
     "op12_secret_scan": lambda spark, sf_dir: credentials.secrets_digest(_table(spark, sf_dir, "documents")),
     "op13_merkle_manifest": lambda spark, sf_dir: merkle.merkle_digest(_table(spark, sf_dir, "documents")),
+    "quality_base_counts": lambda spark, sf_dir: quality.quality_digest(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"),
     "pipeline": pipeline.run,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": substring.ORACLE_SQL,
+    "op4_shard": oracles.SHARDS,
+    "op6_jaccard_join": oracles.SIMILAR,
+    "op7_embedding_dedup": oracles.NEAR_VECTORS,
+    "op8_suffix_dedup": oracles.REPEATED_BYTES,
+    "op13_merkle_manifest": oracles.MERKLE,
+    "quality_base_counts": oracles.QUALITY_BASE,
 }
