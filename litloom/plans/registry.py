@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from litloom import schemas
 from litloom.config import Word2VecSettings
 from litloom.functions import porter, scoring, text
-from litloom.operators import embedding, evidence, grounding, index, publications, skipgram, terms
+from litloom.operators import embedding, evidence, grounding, index, publications, sketches, skipgram, terms
 from litloom.plans.stems import stems_sql
 from litloom.plans.views import view, with_views
 from litloom.sources import tables
@@ -246,6 +246,19 @@ def approximate_lut(spark, sf_dir):
     return both.select("labelN", "type", "keywordId", "factor", (F.abs(F.col("n") - F.col("uniqueKeywordIdsPerLabelN")) <= F.greatest(F.lit(1), 0.05 * F.col("uniqueKeywordIdsPerLabelN"))).alias("near"))
 
 
+@_query("sketched_lut", f"{with_views('v_terms')}, {_LOOKUP} SELECT labelN, type, keywordId, factor, true AS near FROM lk")
+def sketched_lut(spark, sf_dir):
+    """The lookup with counts merged of three catalogues' sketches, one of which is replaced by a later release; each is
+    within one in a hundred of a count of everything, or one off."""
+    of = view(spark, sf_dir, "v_terms")
+    parts = [of.filter(F.col("type") == t) for t in ("DS", "GP", "CD")]
+    first = [sketches.release_sketches(p.filter("factor > 0.998") if i == 1 else p, f"c{i}", "1", stem=False) for i, p in enumerate(parts)]
+    stored = staged(first[0].unionByName(first[1]).unionByName(first[2]), "sketches")
+    now = sketches.with_release(stored, sketches.release_sketches(parts[1], "c1", "2", stem=False))
+    both = sketches.sketched_lookup(parts, now, stem=False).withColumnRenamed("uniqueKeywordIdsPerLabelN", "n").join(terms.entity_lookup(of, stem=False), ["labelN", "type", "keywordId", "factor"])
+    return both.select("labelN", "type", "keywordId", "factor", (F.abs(F.col("n") - F.col("uniqueKeywordIdsPerLabelN")) <= F.greatest(F.lit(1), 0.01 * F.col("uniqueKeywordIdsPerLabelN"))).alias("near"))
+
+
 def _catalogues(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Parts as diseases, targets and drugs, with the nested fields that these have."""
     part, labelled = _table(spark, sf_dir, "part"), lambda c, name="label": F.array(F.struct(F.col(c).alias(name)))
@@ -285,6 +298,12 @@ def label_best_rank(spark, sf_dir):
     return grounding.ground_labels(_mentions(spark, sf_dir), _entity_lookup(spark, sf_dir), stem=False)
 
 
+@_query("pruned_label_rank", ORACLE_SQL["label_best_rank"])
+def pruned_label_rank(spark, sf_dir):
+    """The same, with a filter of the lookup's keys before labels are shuffled."""
+    return grounding.ground_labels(_mentions(spark, sf_dir), staged(_entity_lookup(spark, sf_dir), "lookup"), stem=False, prune=True)
+
+
 def _resolved(spark, sf_dir, stem=False):
     mentions = _mentions(spark, sf_dir)
     return mentions, staged(grounding.ground_labels(mentions, terms.entity_lookup(view(spark, sf_dir, "v_terms"), stem=stem), stem=stem), "labels")
