@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,11 @@ PAGE = 1 << 16
 #: Labelled documents of each kind that the target model and the cut are fitted on, at most: those whose hashed
 #: doc_id is smallest. Raw counts, weights and the top-k cover all documents.
 FIT = 20_000
+#: The cut is chosen on weights of labelled documents by the target texts of the other folds, so that it is one for texts
+#: that the target model hasn't seen.
+FOLDS = 4
+#: Share of target texts that a cut may leave out, where few labels can't tell all of the others apart.
+LOST = 0.05
 #: A bucket's log ratio is shrunk by z / (z + SHRINK), where z is twice the log likelihood ratio of its count in target
 #: against what raw text leads to expect; so what is rare in both says little, and every bucket has its say.
 SHRINK = 20.0
@@ -116,16 +122,20 @@ def log_ratio(target: np.ndarray, n_target: float, raw: np.ndarray, n_raw: float
     return (np.log((target + 0.5) / (expected + 0.5)) * evidence / (evidence + SHRINK)).astype(np.float32)
 
 
-def _ratios(n_target: float, n_raw: float):
-    """The log ratios of each page of PAGE buckets; a page's counts come to one partition."""
+def _ratios(n_target: list[float], n_raw: float):
+    """The log ratios of each page of PAGE buckets, by the target texts of all folds (part -1) and of all but each one; a
+    page's counts come to one partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pages: dict[int, np.ndarray] = {}
+        pages: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            got = log_ratio(b.column("target").to_numpy(), n_target, b.column("raw").to_numpy(), n_raw)
+            folds, raw = [b.column(f"target_{f}").to_numpy() for f in range(FOLDS)], b.column("raw").to_numpy()
             page, place = np.divmod(b.column("bucket").to_numpy(), PAGE)
-            for p in np.unique(page).tolist():
-                pages.setdefault(p, np.zeros(PAGE, "<f4"))[place[page == p]] = got[page == p]
-        yield pa.RecordBatch.from_arrays([pa.array(list(pages), pa.int64()), pa.array([x.tobytes() for x in pages.values()], pa.binary())], ["page", "ratios"])
+            for part in range(-1, FOLDS):
+                others = [f for f in range(FOLDS) if f != part]
+                got = log_ratio(sum(folds[f] for f in others), sum(n_target[f] for f in others), raw, n_raw)
+                for p in np.unique(page).tolist():
+                    pages.setdefault((p, part), np.zeros(PAGE, "<f4"))[place[page == p]] = got[page == p]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in pages], pa.int64()), pa.array([part for _, part in pages], pa.int32()), pa.array([x.tobytes() for x in pages.values()], pa.binary())], ["page", "part", "ratios"])
 
     return run
 
@@ -139,41 +149,49 @@ class Models:
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The cut with the fewest labelled documents on the wrong side, each kind counting as one whole."""
+    """The cut with the fewest labelled documents on the wrong side, each kind counting as one whole, among those that
+    leave out at most LOST of the good ones."""
     if not len(good) or not len(bad):
         return float("-inf")
     values = np.unique(np.concatenate((good, bad)))
     cuts = np.concatenate(([values[0] - 1], (values[1:] + values[:-1]) / 2))
-    wrong = np.searchsorted(np.sort(good), cuts) / len(good) + 1 - np.searchsorted(np.sort(bad), cuts) / len(bad)
+    lost = np.searchsorted(np.sort(good), cuts) / len(good)
+    cuts, lost = cuts[lost <= LOST], lost[lost <= LOST]
+    wrong = lost + 1 - np.searchsorted(np.sort(bad), cuts) / len(bad)
     least = np.flatnonzero(wrong <= wrong.min() + 1e-12)
     return float(cuts[least[len(least) // 2]])
 
 
 def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit: int = FIT) -> Models:
-    """Target: labelled documents of quality 1 that aren't toxic. Raw: all documents."""
+    """Target: labelled documents of quality 1 that aren't toxic. Raw: all documents. The cut is held out, by folds."""
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col("doc_id").alias("did"), F.coalesce("text", F.lit("")).alias("text"))
     kind = F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).when((F.col("quality") == 0) | (F.col("toxic") == 1), 0)
     marked = labels.select(F.col("doc_id").alias("did"), kind.alias("good")).filter("good is not null and did is not null").groupBy("did").agg(F.min("good").alias("good"))
     hashed = marked.select(F.xxhash64("did").alias("k"), "did", "good")
-    picked = smallest(hashed.filter("good = 1"), "k", fit).union(smallest(hashed.filter("good = 0"), "k", fit)).drop("k")
-    sample = staged(texts.join(picked, "did").select("good", "text"), "labelled")
+    picked = smallest(hashed.filter("good = 1"), "k", fit).union(smallest(hashed.filter("good = 0"), "k", fit)).select("did", "good", F.pmod(F.xxhash64("k"), F.lit(FOLDS)).cast("int").alias("fold"))
+    sample = staged(texts.join(picked, "did").select("good", "fold", "text"), "labelled")
     counts = _counts(texts.select("text"), "raw", buckets)
-    target = _counts(sample.filter("good = 1").select("text"), "target", buckets)
-    counts = staged(counts.join(target, "bucket", "left").fillna(0), "counts")
+    for f in range(FOLDS):
+        counts = counts.join(_counts(sample.filter(f"good = 1 and fold = {f}").select("text"), f"target_{f}", buckets), "bucket", "left")
+    counts = staged(counts.fillna(0), "counts")
     n = counts.filter("bucket = -1").first()
     if n is None:  # no documents
         return Models(np.zeros(buckets, np.float32), float("-inf"))
-    paged = counts.filter("bucket >= 0").repartition(F.floor(F.col("bucket") / PAGE)).select("bucket", "target", "raw").mapInArrow(_ratios(n.target, n.raw), "page long, ratios binary")
-    ratio = np.zeros(-(-buckets // PAGE) * PAGE, np.float32)
-    for page in paged.collect():  # 4 bytes for each bucket
-        ratio[page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
-    ratio = ratio[:buckets]
-    scored = sample.mapInArrow(_weigh(spark.sparkContext.broadcast(ratio), buckets), "good int, n_ngrams long, log_weight double").toPandas()  # 2 * fit rows at most
+    n_target = [n[f"target_{f}"] for f in range(FOLDS)]
+    paged = counts.filter("bucket >= 0").repartition(F.floor(F.col("bucket") / PAGE)).drop("n").mapInArrow(_ratios(n_target, n.raw), "page long, part int, ratios binary")
+    ratios = np.zeros((FOLDS + 1, -(-buckets // PAGE) * PAGE), np.float32)
+    for page in paged.toLocalIterator():  # 4 bytes for each bucket and part
+        ratios[page.part, page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
+    ratios = ratios[:, :buckets]
+    # A fold that has all target texts is weighed by all of them, as nothing else knows any.
+    parts = [f if sum(n_target) > n_target[f] else -1 for f in range(FOLDS)]
+    weighed = [sample.filter(F.col("fold") == f).select("good", "text").mapInArrow(_weigh(spark.sparkContext.broadcast(ratios[part]), buckets), "good int, n_ngrams long, log_weight double") for f, part in enumerate(parts)]
+    scored = reduce(DataFrame.union, weighed).toPandas()  # 2 * fit rows at most
     good = scored["good"].to_numpy() == 1
     weight = scored["log_weight"].to_numpy()
-    return Models(ratio, best_cut(weight[good], weight[~good]))
+    return Models(ratios[-1], best_cut(weight[good], weight[~good]))
 
 
 def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:

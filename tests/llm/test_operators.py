@@ -678,9 +678,31 @@ def plain_features(text):
     return [(g, level) for g, n in Counter(grams).items() for level in range(n.bit_length())]
 
 
-def test_resampling_is_gumbel_top_k_of_the_two_models(spark):
+def plain_weights(features, good):
+    """The log ratio of each feature, target against raw, of texts' features by id."""
     from collections import Counter
 
+    raw, target = (Counter(f for i in ids for f in features[i]) for ids in (features, good))
+    weight = {}
+    for f, n in raw.items():
+        expected = len(good) * (n + 0.5) / (len(features) + 1)
+        evidence = max(0.0, 2 * (target[f] * np.log(max(target[f], 1) / max(expected, 1e-9)) - target[f] + expected))
+        weight[f] = np.log((target[f] + 0.5) / (expected + 0.5)) * evidence / (evidence + resample.SHRINK)
+    return weight
+
+
+def plain_cut(spark, features, good, bad):
+    """The cut, from each labelled text's weight by the target texts of the other folds."""
+    from pyspark.sql import functions as F
+
+    ids = spark.createDataFrame([(i,) for i in [*good, *bad]], "i long")
+    fold = {r.i: r.f for r in ids.select("i", F.pmod(F.xxhash64(F.xxhash64("i")), F.lit(resample.FOLDS)).alias("f")).collect()}
+    weights = [plain_weights(features, [i for i in good if fold[i] != f]) for f in range(resample.FOLDS)]
+    held = lambda ids: np.array([sum(weights[fold[i]][x] for x in features[i]) for i in ids])
+    return resample.best_cut(held(good), held(bad))
+
+
+def test_resampling_is_gumbel_top_k_of_the_two_models(spark):
     from pyspark.sql import functions as F
 
     r, rows, labels = random.Random(7), [], []
@@ -693,17 +715,12 @@ def test_resampling_is_gumbel_top_k_of_the_two_models(spark):
     got = {r.doc_id: r for r in resample.resample(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
     features = {i: plain_features(t or "") for i, t, _ in rows}
     good = [i for i, q, x in labels if q == 1 and not x]
-    raw, target = (Counter(f for i in ids for f in features[i]) for ids in (features, good))
-    weight = {}
-    for f, n in raw.items():
-        expected = len(good) * (n + 0.5) / (len(rows) + 1)
-        evidence = max(0.0, 2 * (target[f] * np.log(max(target[f], 1) / expected) - target[f] + expected))
-        weight[f] = np.log((target[f] + 0.5) / (expected + 0.5)) * evidence / (evidence + resample.SHRINK)
+    weight = plain_weights(features, good)
     assert min(weight.values()) < 0 < max(weight.values())
     whole = {i: sum(weight[f] for f in fs) for i, fs in features.items()}
     for i, fs in features.items():
         assert got[i].n_ngrams == len(fs) and got[i].log_weight == pytest.approx(whole[i], abs=1e-3)
-    cut = resample.best_cut(np.array([whole[i] for i in good]), np.array([whole[i] for i, q, x in labels if not q or x]))
+    cut = plain_cut(spark, features, good, [i for i, q, x in labels if not q or x])
     hashed = {r.i: r.h for r in spark.createDataFrame([(i, len(fs)) for i, fs in features.items()], "i long, n long").select("i", F.xxhash64("i", "n", F.lit(5)).alias("h")).collect()}
     key = {i: whole[i] - np.log(-np.log((hashed[i] % 2**52 + 0.5) / 2**52)) for i, fs in features.items() if fs}
     k = sum(whole[i] >= cut for i in key)
@@ -735,3 +752,10 @@ def test_top_k_is_exact(spark):
     for k in (0, 1, 700, 950, 3000, 3060, 4000, 6050):
         kept = [x.key for x in resample.top_k(rows, k).filter("kept").collect()]
         assert sorted(kept) == sorted(sorted(keys)[len(keys) - k :]), k
+
+
+def test_cuts_leave_out_few_good_texts():
+    good, bad = np.arange(100.0), np.arange(40.0, 60.0)
+    cut = resample.best_cut(good, bad)
+    assert (good < cut).sum() <= 100 * resample.LOST
+    assert resample.best_cut(good + 100, bad) > 60 and resample.best_cut(good, np.array([])) == float("-inf")

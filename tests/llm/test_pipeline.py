@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from litloom.llm import jaccard, mix, pack, resample, runtime, substring
 from litloom.llm.runtime import staged
-from tests.llm.test_operators import LABELS, SCHEMA, frame, plain_features, prose
+from tests.llm.test_operators import LABELS, SCHEMA, frame, plain_cut, plain_features, plain_weights, prose
 
 
 def plain_drawn(spark, docs, labels):
@@ -26,14 +26,9 @@ def plain_drawn(spark, docs, labels):
             if good is not None:
                 kind[r.doc_id] = min(good, kind.get(r.doc_id, 1))
     good = [i for i, g in kind.items() if g]
-    raw, target = (Counter(f for i in ids for f in features[i]) for ids in (texts, good))
-    weight = {}
-    for f, n in raw.items():
-        expected = len(good) * (n + 0.5) / (len(texts) + 1)
-        evidence = max(0.0, 2 * (target[f] * np.log(max(target[f], 1) / expected) - target[f] + expected))
-        weight[f] = np.log((target[f] + 0.5) / (expected + 0.5)) * evidence / (evidence + resample.SHRINK)
+    weight = plain_weights(features, good)
     whole = {i: sum(weight[f] for f in fs) for i, fs in features.items()}
-    cut = resample.best_cut(np.array([whole[i] for i in good]), np.array([whole[i] for i, g in kind.items() if not g]))
+    cut = plain_cut(spark, features, good, [i for i, g in kind.items() if not g])
     hashed = {r.i: r.h for r in spark.createDataFrame([(i, len(fs)) for i, fs in features.items()], "i long, n long").select("i", F.xxhash64("i", "n", F.lit(5)).alias("h")).collect()}
     key = {i: whole[i] - np.log(-np.log((hashed[i] % 2**52 + 0.5) / 2**52)) for i, fs in features.items() if fs}
     drawn = sorted(key, key=key.get, reverse=True)[: sum(whole[i] >= cut for i in key)]
