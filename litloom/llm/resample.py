@@ -25,7 +25,7 @@ FIT = 20_000
 #: that the target model hasn't seen.
 FOLDS = 4
 #: Share of target texts that a cut may leave out, where few labels can't tell all of the others apart.
-LOST = 0.05
+LOST = 0.02
 #: A bucket's log ratio is shrunk by z / (z + SHRINK), where z is twice the log likelihood ratio of its count in target
 #: against what raw text leads to expect; so what is rare in both says little, and every bucket has its say.
 SHRINK = 20.0
