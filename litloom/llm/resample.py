@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -180,18 +179,25 @@ def fit_models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit:
     if n is None:  # no documents
         return Models(np.zeros(buckets, np.float32), float("-inf"))
     n_target = [n[f"target_{f}"] for f in range(FOLDS)]
-    paged = counts.filter("bucket >= 0").repartition(F.floor(F.col("bucket") / PAGE)).drop("n").mapInArrow(_ratios(n_target, n.raw), "page long, part int, ratios binary")
-    ratios = np.zeros((FOLDS + 1, -(-buckets // PAGE) * PAGE), np.float32)
-    for page in paged.toLocalIterator():  # 4 bytes for each bucket and part
-        ratios[page.part, page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
-    ratios = ratios[:, :buckets]
-    # A fold that has all target texts is weighed by all of them, as nothing else knows any.
-    parts = [f if sum(n_target) > n_target[f] else -1 for f in range(FOLDS)]
-    weighed = [sample.filter(F.col("fold") == f).select("good", "text").mapInArrow(_weigh(spark.sparkContext.broadcast(ratios[part]), buckets), "good int, n_ngrams long, log_weight double") for f, part in enumerate(parts)]
-    scored = reduce(DataFrame.union, weighed).toPandas()  # 2 * fit rows at most
-    good = scored["good"].to_numpy() == 1
-    weight = scored["log_weight"].to_numpy()
-    return Models(ratios[-1], best_cut(weight[good], weight[~good]))
+    paged = staged(counts.filter("bucket >= 0").repartition(F.floor(F.col("bucket") / PAGE)).drop("n").mapInArrow(_ratios(n_target, n.raw), "page long, part int, ratios binary"), "ratios")
+
+    def ratios(part: int) -> np.ndarray:
+        out = np.zeros(-(-buckets // PAGE) * PAGE, np.float32)
+        for page in paged.filter(F.col("part") == part).toLocalIterator():  # 4 bytes for each bucket
+            out[page.page * PAGE : (page.page + 1) * PAGE] = np.frombuffer(page.ratios, "<f4")
+        return out[:buckets]
+
+    good, weight = [], []
+    for f in range(FOLDS):  # one after the other, so that the driver holds one table at a time
+        # A fold that has all target texts is weighed by all of them, as nothing else knows any.
+        shared = spark.sparkContext.broadcast(ratios(f if sum(n_target) > n_target[f] else -1))
+        weighed = sample.filter(F.col("fold") == f).select("good", "text").mapInArrow(_weigh(shared, buckets), "good int, n_ngrams long, log_weight double")
+        scored = weighed.select("good", "log_weight").toPandas()  # 2 * fit rows at most, over all folds
+        shared.destroy()
+        good.append(scored["good"].to_numpy() == 1)
+        weight.append(scored["log_weight"].to_numpy())
+    good, weight = np.concatenate(good), np.concatenate(weight)
+    return Models(ratios(-1), best_cut(weight[good], weight[~good]))
 
 
 def top_k(scored: DataFrame, k: int, key: str = "key") -> DataFrame:
