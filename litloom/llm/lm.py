@@ -27,9 +27,8 @@ WIDTH, INNER = 16, 32
 #: Counts of pairs are smoothed by so many of what is expected with less of the context.
 SMOOTH = 8.0
 #: Rounds that the windows of all training documents are dealt to; after each the partitions' weights are averaged,
-#: as whole multiples of 1 / UNIT, whose sums don't depend on their order. In a round, a batch of windows is learnt
-#: from at PLACES places, which take turns from batch to batch.
-ROUNDS, UNIT, BATCH, PLACES, RATE = 3, 1 << 20, 128, 12, 3e-3
+#: as whole multiples of 1 / UNIT, whose sums don't depend on their order. A batch of windows is learnt from at all places.
+ROUNDS, UNIT, BATCH, RATE = 3, 1 << 20, 128, 3e-3
 #: Windows that are scored at a time, so that they stay in a core's cache.
 AT_ONCE = 64
 #: Pages in which the driver gets the counts of pairs, and ids that are counted at a time.
@@ -229,7 +228,7 @@ def _learn(model, turn: int):
         said: Model = model.value
         net = Attention(len(said.net.p["embed"]), said.net.classes)
         net.p = {n: a.copy() for n, a in said.net.p.items()}
-        adam, rng, seen, steps = Adam(net), np.random.Generator(np.random.PCG64(turn)), 0, turn
+        adam, rng, seen = Adam(net), np.random.Generator(np.random.PCG64(turn)), 0
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 texts = [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in whole.column("ids").slice(at, 256)]
@@ -239,12 +238,7 @@ def _learn(model, turn: int):
                 order = rng.permutation(len(before))
                 for a in range(0, len(order), BATCH):
                     i = order[a : a + BATCH]
-                    steps += 1
-                    first = steps % (WINDOW // PLACES) * PLACES
-                    if not inside[i, first].any():  # short texts only
-                        first = 0
-                    asked = (i, slice(first, first + PLACES))
-                    adam.step(said.row[before[i, : first + PLACES]], first, said.follow.take(before[asked].ravel(), 0), said.of[after[asked].ravel()], inside[asked].ravel().astype(np.float32))
+                    adam.step(said.row[before[i]], 0, said.follow.take(before[i].ravel(), 0), said.of[after[i].ravel()], inside[i].ravel().astype(np.float32))
                 seen += len(order)
         if seen:
             flat = np.concatenate([net.p[n].ravel() for n in sorted(net.p)])
@@ -255,8 +249,8 @@ def _learn(model, turn: int):
 
 
 def learn_all(model: Model, train: DataFrame) -> int:
-    """Trains the attention model, in place, on every window of every row of train, in ROUNDS passes that share the
-    windows out, each at PLACES of its WINDOW places, which take turns; returns the windows' number.
+    """Trains the attention model, in place, on every id of every row of train, in ROUNDS passes that share the windows
+    out, each learnt from at all of its places; returns the windows' number.
 
     In a round each partition goes on from the same weights with its own windows, and the weights that they come
     to are averaged by the windows they stand for. The driver gets a row for each weight, whatever the input.

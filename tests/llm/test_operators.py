@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -566,6 +567,22 @@ def test_lm_learns_from_every_window(spark, lm_model):
     assert lm.learn_all(lm_model, id_rows(spark, texts)) == sum(-(-len(x) // lm.WINDOW) for x in texts)
 
 
+def test_lm_learns_from_every_id_of_a_window(lm_model, monkeypatch):
+    learnt = []
+
+    class Counted(lm.Adam):
+        def step(self, before, first, prior, after, weight):
+            learnt.append(weight.sum())
+            return super().step(before, first, prior, after, weight)
+
+    monkeypatch.setattr(lm, "Adam", Counted)
+    texts = lm_texts(20)
+    batch = pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in texts], pa.binary())], ["ids"])
+    for turn in range(lm.ROUNDS):
+        assert len(list(lm._learn(SimpleNamespace(value=lm_model), turn)(iter([batch])))) == 1
+    assert sum(learnt) == sum(map(len, texts))
+
+
 def test_lm_training_windows_hold_each_id_once():
     texts = [np.arange(n) % 50 for n in (1, 63, 64, 65, 500)]
     got = [lm.training_windows(texts, turn, 3) for turn in range(3)]
