@@ -57,6 +57,17 @@ def vocabulary(bags: DataFrame, min_count: int) -> DataFrame:
     return bags.select(F.explode("terms").alias("word")).filter("word is not null").groupBy("word").agg(F.count("*").alias("count")).filter(F.col("count") >= min_count)
 
 
+def add_rows(to: np.ndarray, at: np.ndarray, factor: np.ndarray, rows: np.ndarray) -> None:
+    """Adds factor[i, j] * rows[i] to row at[i, j] of `to`, in place; what comes to one row is summed first, in the order of i and j."""
+    flat = at.ravel()
+    order = np.argsort(flat, kind="stable")
+    met, edges = np.unique(flat[order], return_index=True)
+    if len(met):
+        added = rows[order // at.shape[1]]
+        added *= factor.ravel()[order, None]
+        to[met] += np.add.reduceat(added, edges, axis=0)
+
+
 class Shard:
     """Weights that learn from a shard's bags, and how often each word was learnt."""
 
@@ -108,8 +119,8 @@ class Shard:
         sign[:, 1:][drawn == context[:, None]] = np.nan  # noise that is the context itself teaches nothing
         a, b = self.weights[0][centre], self.weights[1][outs]
         error = np.nan_to_num(sign - 1 / (1 + np.exp(-np.einsum("nd,nkd->nk", a, b).clip(-30, 30)))) * rate
-        np.add.at(self.weights[0], centre, np.einsum("nk,nkd->nd", error, b))
-        np.add.at(self.weights[1], outs, error[:, :, None] * a[:, None, :])
+        add_rows(self.weights[0], centre[:, None], np.ones((len(centre), 1)), np.einsum("nk,nkd->nd", error, b))
+        add_rows(self.weights[1], outs, error, a)
         np.add.at(self.learnt[0], centre, 1)
         np.add.at(self.learnt[1], outs, 1)
 

@@ -1,6 +1,7 @@
 """Skip-gram vectors: the same in any cut, near for words that share bags, and stored with their settings."""
 
 import random
+import time
 from dataclasses import replace
 
 import numpy as np
@@ -74,3 +75,21 @@ def test_every_token_is_learnt():
         shard.add(np.array([i % 50, (i + 1) % 50]))
     shard.learn()
     assert shard.learnt[0].sum() == 200 and (shard.learnt[0] == 4).all() and shard.seen == 200
+
+
+def test_rows_are_added_at_once():
+    r = np.random.default_rng(0)
+    at, factor, rows = r.integers(0, 150, (1024, 6)), r.random((1024, 6)), r.random((1024, 100))
+    got, truth, shard = np.zeros((150, 100)), np.zeros((150, 100)), skipgram.Shard((np.zeros((150, 100)),) * 2, np.arange(1, 151) / 150, Word2VecSettings(), 0, 0, 1000)
+    skipgram.add_rows(got, at, factor, rows)
+
+    def seconds(f):
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            f()
+            times.append(time.process_time() - start)
+        return min(times)
+
+    one_by_one = seconds(lambda: np.add.at(truth, at, factor[:, :, None] * rows[:, None, :]))
+    assert np.allclose(got * 5, truth) and seconds(lambda: shard._step(at[:, 0], at[:, 1], 0.02)) < one_by_one
