@@ -23,10 +23,16 @@ BUILD_BEAM, BEAM = 64, 32
 #: query must find on the mean of either kind. Beams double to WIDEST; where that doesn't do, or where there are
 #: fewer such queries, all vectors are compared, BLOCK at a time.
 AUDIT, RECALL, FEW, WIDEST, BLOCK = 128, 0.99, 16, 512, 128
+#: Nodes that come into a graph, and queries that are answered, at a time.
+TOGETHER = 256
 
 
 class Graph:
-    """An HNSW graph over unit vectors, by inner product."""
+    """An HNSW graph over unit vectors, by inner product; nodes come in by batches, and queries are answered so.
+
+    The nodes of a batch find their neighbours in the graph before it and among the batch's nodes before them. A step
+    of many beams is a few calls of numpy, so that work follows the nodes that are met and not the steps.
+    """
 
     def __init__(self, vectors: np.ndarray, seed: int = 7):
         self.x = vectors
@@ -34,89 +40,163 @@ class Graph:
         rng = np.random.Generator(np.random.PCG64(seed))
         self.level = np.minimum((-np.log(1 - rng.random(n)) / np.log(LINKS)).astype(int), 8)
         self.near = [np.full((n, MOST if level == 0 else 2 * LINKS), -1, np.int32) for level in range(int(self.level.max(initial=0)) + 1)]
-        self.size = [np.zeros(n, np.int32) for _ in self.near]
-        self.seen = np.zeros(n, np.int64)
-        self.stamp = 0
+        self.size = [np.zeros(n, np.int64) for _ in self.near]
         self.entry = 0
-        for i in range(1, n):
-            self._insert(i)
-
-    def beam(self, q: np.ndarray, entries: np.ndarray, width: int, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nodes nearest to q that a beam of this width meets, and their cosines, best first."""
-        self.stamp += 1
-        near, seen, stamp = self.near[level], self.seen, self.stamp
-        seen[entries] = stamp
-        ids, cos = entries, self.x[entries] @ q
-        done = np.zeros(len(ids), bool)
+        at = 1
+        while at < n:
+            upto = min(n, at + min(TOGETHER, at))
+            self._insert(np.arange(at, upto))
+            at = upto
+
+    def _cos(self, nodes: np.ndarray, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", self.x[nodes], q[rows])
+
+    def _unseen(self, rows: np.ndarray, nodes: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The level's links of the nodes that the rows haven't seen, once each, as pairs in order; now they have."""
+        key = np.repeat(rows * seen.shape[1], nodes.shape[1])
+        link = nodes.ravel()
+        key = key[link >= 0] + link[link >= 0]
+        key = np.sort(key[~seen.ravel()[key]])
+        key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+        seen.ravel()[key] = True
+        return np.divmod(key, seen.shape[1])
+
+    def beams(self, q: np.ndarray, entries: np.ndarray, width: int, level: int, least: float = np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """For each query the nodes nearest to it that a beam of this width meets, best first and -1 after the last, and
+        their cosines; what was seen; and the pairs (query, node) met whose cosine is `least` or more.
+
+        entries: an entry for each query.
+        """
+        near, b = self.near[level], len(q)
+        seen = np.zeros((b, len(self.x)), bool)
+        every = np.arange(b)
+        seen[every, entries] = True
+        ids, cos = np.full((b, width), -1), np.full((b, width), -np.inf)
+        ids[:, 0], cos[:, 0] = entries, self._cos(entries, q, every)
+        met = [(every[cos[:, 0] >= least], entries[cos[:, 0] >= least])]
+        todo = ids >= 0  # nodes of the beams whose links haven't been followed
         while True:
-            todo = np.flatnonzero(~done)[:8]
-            if not len(todo):
-                return ids, cos
-            done[todo] = True
-            new = near[ids[todo]].ravel()
-            new = new[new >= 0]
-            new = new[seen[new] != stamp]
-            if len(new):
-                new = np.unique(new)
-                seen[new] = stamp
-                ids, cos, done = np.concatenate((ids, new)), np.concatenate((cos, self.x[new] @ q)), np.concatenate((done, np.zeros(len(new), bool)))
-                order = np.argsort(-cos, kind="stable")[:width]
-                ids, cos, done = ids[order], cos[order], done[order]
+            rows, places = np.nonzero(todo & (np.cumsum(todo, 1) <= 8))
+            if not len(rows):
+                return ids, cos, seen, met
+            todo[rows, places] = False
+            rows, new = self._unseen(rows, near[ids[rows, places]], seen)
+            value = self._cos(new, q, rows)
+            hits = value >= least
+            met.append((rows[hits], new[hits]))
+            better = value > cos[rows, -1]
+            rows, new, value = rows[better], new[better], value[better]
+            if not len(rows):
+                continue
+            some, starts, many = np.unique(rows, return_index=True, return_counts=True)
+            shape = (len(some), width + int(many.max()))
+            place = np.repeat(np.arange(len(some)), many), width + np.arange(len(rows)) - np.repeat(starts, many)
+            ids2, cos2, todo2 = np.full(shape, -1), np.full(shape, -np.inf), np.zeros(shape, bool)
+            ids2[:, :width], cos2[:, :width], todo2[:, :width] = ids[some], cos[some], todo[some]
+            ids2[place], cos2[place], todo2[place] = new, value, True
+            order = np.argsort(-cos2, 1, kind="stable")[:, :width]
+            ids[some], cos[some], todo[some] = (np.take_along_axis(a, order, 1) for a in (ids2, cos2, todo2))
 
     def _choose(self, ids: np.ndarray, cos: np.ndarray, most: int) -> np.ndarray:
-        """Of candidates, best first, those that are nearer to the node than to any chosen one; then the best others."""
-        among = self.x[ids] @ self.x[ids].T
-        taken: list[int] = []
-        for i in range(len(ids)):
-            if len(taken) == most:
-                break
-            if not taken or among[i, taken].max() < cos[i]:
-                taken.append(i)
-        rest = [i for i in range(len(ids)) if i not in set(taken)]
-        return ids[taken + rest[: max(0, most // 2 - len(taken))]]
-
-    def _insert(self, i: int) -> None:
-        q, top = self.x[i], int(self.level[self.entry])
-        at = np.array([self.entry])
-        for level in range(top, int(self.level[i]), -1):
-            at = self.beam(q, at, 1, level)[0][:1]
-        for level in range(min(top, int(self.level[i])), -1, -1):
-            ids, cos = self.beam(q, at, BUILD_BEAM, level)
-            chosen = self._choose(ids, cos, LINKS)
-            near, size = self.near[level], self.size[level]
-            near[i, : len(chosen)] = chosen
-            size[i] = len(chosen)
-            for j in chosen.tolist():
-                if size[j] < near.shape[1]:
-                    near[j, size[j]] = i
-                    size[j] += 1
-                else:
-                    have = np.append(near[j], i)
-                    c = self.x[have] @ self.x[j]
-                    order = np.argsort(-c, kind="stable")
-                    keep = self._choose(have[order], c[order], near.shape[1] * 2 // 3)
-                    near[j] = -1
-                    near[j, : len(keep)] = keep
-                    size[j] = len(keep)
-            at = ids
-        if self.level[i] > top:
-            self.entry = i
-
-    def within(self, q: np.ndarray, least: float, width: int) -> np.ndarray:
-        """Nodes whose cosine with q is `least` or more, as far as a beam meets them or their like neighbours."""
-        at = np.array([self.entry])
-        for level in range(int(self.level[self.entry]), 0, -1):
-            at = self.beam(q, at, 1, level)[0][:1]
-        ids, cos = self.beam(q, at, width, 0)
-        found = front = ids[cos >= least]
-        while len(front):  # a crowd may be larger than the beam: go on along links that stay within reach
-            new = self.near[0][front].ravel()
-            new = new[new >= 0]
-            new = np.unique(new[self.seen[new] != self.stamp])
-            self.seen[new] = self.stamp
-            front = new[self.x[new] @ q >= least]
-            found = np.concatenate((found, front))
-        return found
+        """Of each row's candidates, best first and -1 after the last, those that are nearer to the row's node than to
+        any chosen one, up to `most`; then, up to half of that, the best others; and -1 after the last."""
+        out = np.full((len(ids), most), -1)
+        step = max(1, (1 << 21) // max(1, ids.shape[1] ** 2))
+        for a in range(0, len(ids), step):
+            some, near = ids[a : a + step], cos[a : a + step]
+            x = self.x[some]
+            among = np.matmul(x, x.transpose(0, 2, 1))
+            closest = np.full(some.shape, -np.inf)  # to any chosen one
+            taken = np.zeros(some.shape, bool)
+            many = np.zeros(len(some), int)
+            for i in range(some.shape[1]):
+                fits = (some[:, i] >= 0) & (many < most) & (closest[:, i] < near[:, i])
+                taken[:, i] = fits
+                many += fits
+                closest[fits] = np.maximum(closest[fits], among[fits, i])
+            order = np.argsort(~taken * 1 + (some < 0), 1, kind="stable")[:, :most]
+            kept = np.take_along_axis(some, order, 1)
+            kept[np.arange(kept.shape[1]) >= np.maximum(many, most // 2)[:, None]] = -1
+            out[a : a + step, : kept.shape[1]] = kept
+        return out
+
+    def _ranked(self, ids: np.ndarray, cos: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(-cos, 1, kind="stable")[:, :most]
+        return np.take_along_axis(ids, order, 1), np.take_along_axis(cos, order, 1)
+
+    def _insert(self, new: np.ndarray) -> None:
+        q, level, top = self.x[new], self.level[new], int(self.level[self.entry])
+        at = np.full(len(new), self.entry)
+        for l in range(max(top, int(level.max())), -1, -1):  # noqa: E741
+            passing = np.flatnonzero(level < l)
+            if l <= top and len(passing):
+                at[passing] = self.beams(q[passing], at[passing], 1, l)[0][:, 0]
+            here = np.flatnonzero(level >= l)
+            if not len(here):
+                continue
+            peers = q[here] @ q[here].T
+            peers[np.triu_indices(len(here))] = -np.inf
+            ids, cos = np.where(peers > -np.inf, new[here], -1), peers
+            if l <= top:
+                ids2, cos2, _, _ = self.beams(q[here], at[here], BUILD_BEAM, l)
+                at[here] = ids2[:, 0]
+                ids, cos = np.hstack((ids2, ids)), np.hstack((cos2, cos))
+            ids, cos = self._ranked(ids, cos, BUILD_BEAM)
+            self._link(new[here], self._choose(ids, cos, LINKS), l)
+        if level.max() > top:
+            self.entry = int(new[level.argmax()])
+
+    def _link(self, nodes: np.ndarray, chosen: np.ndarray, level: int) -> None:
+        """Links the nodes to those chosen for them, and these back to the nodes; where these come to have too many, to
+        the ones chosen anew."""
+        near, size = self.near[level], self.size[level]
+        most = near.shape[1]
+        near[nodes, : chosen.shape[1]] = chosen
+        size[nodes] = (chosen >= 0).sum(1)
+        back, at = chosen.ravel(), np.repeat(nodes, chosen.shape[1])
+        order = np.argsort(back, kind="stable")
+        order = order[back[order] >= 0]
+        back, at = back[order], at[order]
+        if not len(back):
+            return
+        to, starts, many = np.unique(back, return_index=True, return_counts=True)
+        place = np.repeat(size[to], many) + np.arange(len(back)) - np.repeat(starts, many)
+        fits = np.repeat(size[to] + many <= most, many)
+        near[back[fits], place[fits]] = at[fits]
+        size[to] += many
+        full = np.flatnonzero(size[to] > most)
+        if not len(full):
+            return
+        row = np.repeat(np.arange(len(to)), many)
+        number = np.full(len(to), -1)
+        number[full] = np.arange(len(full))
+        have = np.full((len(full), int(size[to[full]].max())), -1)
+        have[:, :most] = near[to[full]]
+        have[number[row[~fits]], place[~fits]] = at[~fits]
+        cos = np.where(have >= 0, np.einsum("ijk,ik->ij", self.x[have], self.x[to[full]]), -np.inf)
+        kept = self._choose(*self._ranked(have, cos, have.shape[1]), most * 2 // 3)
+        near[to[full]] = -1
+        near[to[full], : kept.shape[1]] = kept
+        size[to[full]] = (kept >= 0).sum(1)
+
+    def within(self, queries: np.ndarray, least: float, width: int) -> Iterator[np.ndarray]:
+        """For each query the nodes whose cosine with it is `least` or more, as far as a beam meets them or their like
+        neighbours."""
+        for a in range(0, len(queries), TOGETHER):
+            q = queries[a : a + TOGETHER]
+            at = np.full(len(q), self.entry)
+            for level in range(int(self.level[self.entry]), 0, -1):
+                at = self.beams(q, at, 1, level)[0][:, 0]
+            *_, seen, met = self.beams(q, at, width, 0, least)
+            rows, nodes = (np.concatenate([m[i] for m in met]) for i in range(2))
+            front = rows, nodes
+            while len(front[0]):  # a crowd may be larger than the beam: go on along links that stay within reach
+                row, new = self._unseen(front[0], self.near[0][front[1]], seen)
+                like = self._cos(new, q, row) >= least
+                front = row[like], new[like]
+                rows, nodes = np.append(rows, front[0]), np.append(nodes, front[1])
+            order = np.lexsort((nodes, rows))
+            yield from np.split(nodes[order], np.searchsorted(rows[order], np.arange(1, len(q))))
 
 
 def all_within(x: np.ndarray, queries: np.ndarray, least: float) -> Iterator[np.ndarray]:
@@ -151,7 +231,7 @@ def audited_beam(graph: Graph, least: float, seed: int = 9) -> int | None:
         return None
     width = BEAM
     while width <= WIDEST:
-        if all(np.mean([(graph.within(graph.x[i], least, width) != i).sum() / n for i, n in kind]) >= RECALL for kind in (few, many) if kind):
+        if all(np.mean([(found != i).sum() / n for (i, n), found in zip(kind, graph.within(graph.x[[i for i, _ in kind]], least, width), strict=True)]) >= RECALL for kind in (few, many) if kind):
             return width
         width *= 2
     return None
@@ -171,7 +251,7 @@ class _Shard:
     def _within(self, unit: np.ndarray) -> Iterator[np.ndarray]:
         if self.width is None:
             return all_within(self.graph.x, unit, self.least - 1e-9)
-        return (self.graph.within(q, self.least - 1e-9, self.width) for q in unit)
+        return self.graph.within(unit, self.least - 1e-9, self.width)
 
     def _find(self, i: int) -> int:
         while self.root[i] != i:

@@ -412,6 +412,18 @@ def test_embedding_links_found_from_one_end_count_for_both(monkeypatch):
     assert whole() == wanted
 
 
+def test_embedding_beams_keep_what_crowds_push_out_of_them():
+    r = np.random.default_rng(8)
+    x = np.concatenate([c + 0.02 * r.standard_normal((120, 16)) for c in r.standard_normal((8, 16))] + [np.repeat(r.standard_normal((320, 16)), 2, 0) + 0.01 * r.standard_normal((640, 16))])
+    x = x[r.permutation(len(x))]
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    width = hnsw.audited_beam(graph := hnsw.Graph(x), 0.98)
+    assert width == hnsw.BEAM
+    found, truth = list(graph.within(x, 0.98, width)), list(hnsw.all_within(x, x, 0.98))
+    assert all(len(np.unique(f)) == len(f) and set(f) <= set(t) for f, t in zip(found, truth, strict=True))
+    assert sum(map(len, found)) >= 0.99 * sum(map(len, truth))
+
+
 def test_embedding_audit_accepts_a_graph_that_finds_pairs():
     r = np.random.default_rng(5)
     x = np.repeat(r.standard_normal((800, 16)), 2, 0) + 0.01 * r.standard_normal((1600, 16))
