@@ -48,6 +48,16 @@ def test_stems_of_rows(spark):
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stems_meet_where_their_row_is(spark, tmp_path):
+    spark.createDataFrame([(1, ["running", "x9", "dogs", "running", "été"]), (2, ["x9", None, "cats"]), (3, None)], "k int, t array<string>").write.parquet(str(tmp_path / "t"))
+    df = stem_tokens(spark.read.parquet(str(tmp_path / "t")), "t", ["k"])
+    assert sorted(map(tuple, df.collect())) == [(1, ["run", "x9", "dog", "run", "été"]), (2, ["x9", "cat"]), (3, [])]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")  # dealt as whole rows
+    shuffles = [x for x in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 1
+
+
 def test_harmonic(spark):
     got = values(spark, [([0.5, 0.5, 1.0],), ([],), (None,), ([0.3],)], "v array<double>", scoring.harmonic(F.col("v")), scoring.rank_discounted(F.col("v")))
     assert got[0][0] == pytest.approx(1 + 0.5 / 4 + 0.5 / 9) and got[0][1] == pytest.approx(0.5 + 0.5 / 4 + 1 / 9)
