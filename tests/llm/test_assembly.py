@@ -3,9 +3,11 @@
 import datetime as dt
 import math
 from collections import defaultdict
+from unittest.mock import patch
 from zlib import crc32
 
 import pytest
+from pyspark.sql.streaming import DataStreamWriter
 
 from litloom.llm import assembly
 
@@ -106,6 +108,18 @@ def test_empty_tables_and_batches(spark):
     assert _run(spark, sales, lines, n_batches=4) == plain(sales, lines, 4)
 
 
+def test_starts_and_stores_are_as_few_as_batches_and_keys(spark):
+    sales, lines = [(1, 1.0, _at(2)), (2, 1.0, _at(159))], [_line(1, 1, 1.0, _at(60))]
+    s = spark.createDataFrame([(i, 1, "done", t, None, at, 1) for i, t, at in sales], SALES)
+    runs = []
+    start = DataStreamWriter.start
+    with patch.object(DataStreamWriter, "start", lambda *a, **b: runs.append(start(*a, **b)) or runs[-1]):
+        got = assembly.assembled_sales(s, spark.createDataFrame(lines, LINES), n_batches=3)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain(sales, lines, 3)
+    assert len(runs) == 3 and {o.numShufflePartitions for q in runs for p in q.recentProgress for o in p.stateOperators} == {1}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 def test_given_tables(spark, sf_dir):
     s, li = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("sales", "sale_lines"))
     got = assembly.assembled_sales(s.withColumn("day", s.total), li.withColumn("batch", li.line_no), n_batches=4)
