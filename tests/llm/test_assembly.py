@@ -120,6 +120,18 @@ def test_starts_and_stores_are_as_few_as_batches_and_keys(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
+def test_states_are_not_in_native_memory(spark):
+    """Spark doesn't free what a RocksDB store counts with, half a MB for each that any start opens."""
+    runs = []
+    start = DataStreamWriter.start
+    sales, lines = _odd()
+    with patch.object(DataStreamWriter, "start", lambda *a, **b: runs.append(start(*a, **b)) or runs[-1]):
+        got = _run(spark, sales, lines, n_batches=2, rows_per_key=100)
+    operators = [o for q in runs for p in q.recentProgress for o in p.stateOperators]
+    assert got == plain(sales, lines, 2) and sum(o.numRowsUpdated for o in operators) > 0
+    assert not [m for o in operators for m in o.customMetrics if m.startswith("rocksdb")]
+
+
 def test_given_tables(spark, sf_dir):
     s, li = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("sales", "sale_lines"))
     got = assembly.assembled_sales(s.withColumn("day", s.total), li.withColumn("batch", li.line_no), n_batches=4)
