@@ -63,6 +63,11 @@ class Attention:
         }
         self.earlier = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
+    def folded(self) -> tuple[np.ndarray, np.ndarray]:
+        """q with k, scaled, and v with o: both are small products, so that ids' states are keys and values as they are."""
+        p = self.p
+        return p["q"] @ p["k"].T * p["q"].dtype.type(1 / np.sqrt(WIDTH)), p["v"] @ p["o"]
+
     def weigh(self, before: np.ndarray, first: int, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
         """Weights of the classes at each place from `first` on, a row for each place of each window, what a row sums
         to, and the inner states. before: embedding rows of the ids before each place; prior: a row of logits for each place."""
@@ -70,19 +75,18 @@ class Attention:
         b, n = before.shape
         x = p["embed"].take(before, 0)
         x += p["place"][:n]
-        flat, asking = x.reshape(-1, WIDTH), x[:, first:].reshape(-1, WIDTH)
-        k, v = (flat @ p[w] for w in ("k", "v"))
-        q = (asking @ (p["q"] * np.float32(1 / np.sqrt(WIDTH)))).reshape(b, n - first, WIDTH)
-        k, v = k.reshape(b, n, WIDTH), v.reshape(b, n, WIDTH)
-        s = np.matmul(q, k.transpose(0, 2, 1))
+        asking = x[:, first:].reshape(-1, WIDTH)
+        qk, vo = self.folded()
+        u = (asking @ qk).reshape(b, n - first, WIDTH)
+        s = np.matmul(u, x.transpose(0, 2, 1))
         _capped(s)
         np.exp(s, out=s)
         s *= self.earlier[first:n, :n]
         whole = s @ np.ones((n, 1), s.dtype)
-        mixed = np.matmul(s, v)
+        mixed = np.matmul(s, x)
         mixed /= whole
         mixed = mixed.reshape(-1, WIDTH)
-        y = asking + mixed @ p["o"]
+        y = asking + mixed @ vo
         inner = y @ p["in"]
         inner += p["in_b"]
         inner *= inner > 0
@@ -92,7 +96,7 @@ class Attention:
         likely += prior
         _capped(likely)
         np.exp(likely, out=likely)
-        return likely, likely @ np.ones(self.classes, likely.dtype), (x, q, k, v, s, whole, mixed, y, inner, z)
+        return likely, likely @ np.ones(self.classes, likely.dtype), (x, u, s, whole, mixed, y, inner, z)
 
     def forward(self, before: np.ndarray, first: int, prior: np.ndarray) -> tuple[np.ndarray, tuple]:
         """weigh()'s rows as probabilities, and what backward() needs."""
@@ -100,34 +104,43 @@ class Attention:
         likely /= total[:, None]
         return likely, kept
 
-    def backward(self, before: np.ndarray, first: int, after: np.ndarray, weight: np.ndarray, likely: np.ndarray, kept: tuple) -> dict[str, np.ndarray]:
-        """Gradients of the mean negative log probability of the classes `after`, one for each row of likely."""
+    def backward(self, before: np.ndarray, first: int, after: np.ndarray, weight: np.ndarray, likely: np.ndarray, kept: tuple, total: np.ndarray | float = 1.0) -> dict[str, np.ndarray]:
+        """Gradients of the mean negative log probability of the classes `after`, one for each row of likely. total: what
+        rows of likely are still to be divided by. likely is overwritten.
+
+        Divisions are made where rows are narrow, and sums of rows are products with ones, which take less time.
+        """
         p = self.p
-        x, q, k, v, s, whole, mixed, y, inner, z = kept
-        s /= whole
+        x, u, s, whole, mixed, y, inner, z = kept
+        qk, vo = self.folded()
         b, n = before.shape
-        scale = np.float32(1 / np.sqrt(WIDTH))
+        scale = p["q"].dtype.type(1 / np.sqrt(WIDTH))
         windows = lambda a: a.reshape(b, -1, WIDTH)
-        d = likely
-        d[np.arange(len(after)), after] -= 1
-        d *= (weight / weight.sum())[:, None]
-        g = {"logits": z.T @ d, "bias": d.sum(0)}
+        weight = (weight / weight.sum()).astype(likely.dtype)
+        d, ones = likely, np.ones(len(after), likely.dtype)
+        d *= (weight / total)[:, None]
+        d[np.arange(len(after)), after] -= weight
+        g = {"logits": z.T @ d, "bias": ones @ d}
         dz = d @ p["logits"].T
-        dinner = (dz @ p["out"].T) * (inner > 0)
-        g |= {"out": inner.T @ dz, "in": y.T @ dinner, "in_b": dinner.sum(0)}
-        dy = dz + dinner @ p["in"].T
-        g["o"] = mixed.T @ dy
-        dmixed = dy @ p["o"].T
-        ds = np.matmul(windows(dmixed), v.transpose(0, 2, 1))
-        ds -= windows((dmixed * mixed)).sum(-1, keepdims=True)
+        dinner = dz @ p["out"].T
+        dinner *= inner > 0
+        g |= {"out": inner.T @ dz, "in": y.T @ dinner, "in_b": ones @ dinner}
+        dy = dz
+        dy += dinner @ p["in"].T
+        dvo = mixed.T @ dy
+        g |= {"v": dvo @ p["o"].T, "o": p["v"].T @ dvo}
+        dmixed = dy @ vo.T
+        dmixed /= whole.reshape(-1, 1)  # so that s needn't be
+        ds = np.matmul(windows(dmixed), x.transpose(0, 2, 1))
+        ds -= ((dmixed * mixed) @ np.ones(WIDTH, ds.dtype)).reshape(b, -1, 1)
         ds *= s
-        dv = np.matmul(s.transpose(0, 2, 1), windows(dmixed)).reshape(-1, WIDTH)
-        dq = (np.matmul(ds, k) * scale).reshape(-1, WIDTH)
-        dk = np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, WIDTH)  # q is scaled
-        flat = x.reshape(-1, WIDTH)
-        g |= {"q": x[:, first:].reshape(-1, WIDTH).T @ dq, "k": flat.T @ dk, "v": flat.T @ dv}
-        dx = windows(dk @ p["k"].T + dv @ p["v"].T)
-        dx[:, first:] += windows(dy + dq @ p["q"].T)
+        du = np.matmul(ds, x).reshape(-1, WIDTH)
+        dqk = x[:, first:].reshape(-1, WIDTH).T @ du * scale
+        g |= {"q": dqk @ p["k"], "k": dqk.T @ p["q"]}
+        dx = np.matmul(s.transpose(0, 2, 1), windows(dmixed))
+        dx += np.matmul(ds.transpose(0, 2, 1), u)
+        dy += du @ qk.T
+        dx[:, first:] += windows(dy)
         g["place"] = np.zeros_like(p["place"])
         g["place"][:n] = dx.sum(0)
         g["embed"] = np.zeros_like(p["embed"])
@@ -147,9 +160,9 @@ class Adam:
     def step(self, before: np.ndarray, first: int, prior: np.ndarray, after: np.ndarray, weight: np.ndarray) -> float:
         """One step on these windows; returns their loss before it."""
         self.steps += 1
-        likely, kept = self.net.forward(before, first, prior)
-        loss = -float((np.log(likely[np.arange(len(after)), after]) * weight).sum() / weight.sum())
-        for n, g in self.net.backward(before, first, after, weight, likely, kept).items():
+        likely, total, kept = self.net.weigh(before, first, prior)
+        loss = -float((np.log(likely[np.arange(len(after)), after] / total) * weight).sum() / weight.sum())
+        for n, g in self.net.backward(before, first, after, weight, likely, kept, total).items():
             first_, second = self.first[n], self.second[n]
             first_ += 0.1 * (g - first_)
             second += 0.01 * (g * g - second)

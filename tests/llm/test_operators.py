@@ -565,6 +565,17 @@ def test_lm_gradients():
         assert (up - down) / 2e-5 == pytest.approx(g[at], rel=1e-3), name
 
 
+def test_lm_gradients_of_rows_that_are_not_divided_yet():
+    """A step divides rows by what they sum to within its gradients, and meets keys and values only as small products."""
+    net, r = lm.Attention(20, classes=7, seed=2), np.random.default_rng(4)
+    before, after, prior, weight = r.integers(0, 20, (5, 11)), r.integers(0, 7, 40), r.standard_normal((40, 7)).astype(np.float32), np.ones(40, np.float32)
+    qk, vo = net.folded()
+    assert np.allclose(qk * np.sqrt(lm.WIDTH), net.p["q"] @ net.p["k"].T, atol=1e-5) and np.allclose(vo, net.p["v"] @ net.p["o"], atol=1e-5)
+    whole, rows = (net.backward(before, 3, after, weight, *made) for made in (net.forward(before, 3, prior), (lambda likely, total, kept: (likely, kept, total))(*net.weigh(before, 3, prior))))
+    assert whole.keys() == net.p.keys() == rows.keys()
+    assert all(np.allclose(whole[n], rows[n], atol=1e-5) and np.abs(whole[n]).max() > 1e-4 for n in whole)
+
+
 def test_lm_is_causal():
     net, r = lm.Attention(20), np.random.default_rng(0)
     before, prior = r.integers(0, 20, (2, lm.WINDOW)), np.zeros((2 * lm.WINDOW, lm.CLASSES), np.float32)
